@@ -101,16 +101,14 @@ def tenure_histogram(employees: DataFrame, as_of: dt.date, bins: int = 20) -> Da
     grid = spread.select(
         "low", "high", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     )
-    # both sides are one-row aggregates apart from the day counts, so this stays tiny
+    ranged = counts.withColumns(
+        {c: spread.select(c).scalar() for c in ("low", "high")}
+    )
     place = F.least(
         F.floor((F.col("years") - F.col("low")) * bins / (F.col("high") - F.col("low"))),
         F.lit(bins - 1),
     ).cast("int")
-    filled = (
-        counts.join(F.broadcast(spread), F.lit(True))
-        .groupBy(place.alias("bin"))
-        .agg(F.sum("copies").alias("employees"))
-    )
+    filled = ranged.groupBy(place.alias("bin")).agg(F.sum("copies").alias("employees"))
     width = (F.col("high") - F.col("low")) / bins
     return (
         grid.join(filled, "bin", "left")

@@ -35,7 +35,7 @@ def value_counts_of(df: DataFrame, group: str, value: str) -> DataFrame:
 def exact_quantiles(counts: DataFrame, group: str, wanted: Mapping[str, float]) -> DataFrame:
     """One row per group with the interpolated quantiles ``wanted``, named by their keys.
 
-    ``counts`` is the result of :func:`value_counts_of`. A quantile ``p`` of ``n`` values
+    Groups must not be null. ``counts`` is the result of :func:`value_counts_of`. A quantile ``p`` of ``n`` values
     lies between the ranks below and above ``p * (n - 1)``, both counted from zero.
     """
     binned = counts.withColumn("bin", coarse_bin(F.col("value")))
@@ -69,20 +69,16 @@ def exact_quantiles(counts: DataFrame, group: str, wanted: Mapping[str, float])
     # running count of the values inside a wanted bin: distinct values only, one bin per key
     wanted_bins = targets.select(group, "bin", "from").distinct()
     inside = Window.partitionBy(group, "bin").orderBy("value")
-    same_bin = lambda a, b: a[group].eqNullSafe(b[group]) & (a["bin"] == b["bin"])
-    candidates = binned.join(wanted_bins, same_bin(binned, wanted_bins)).select(
-        binned[group], binned["bin"], "value", "copies", "from"
+    running = F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    stepped = (
+        binned.join(wanted_bins, [group, "bin"])
+        .withColumn("value_until", F.col("from") + running)
+        .select(group, "bin", "value", "copies", "value_until")
     )
-    stepped = candidates.withColumn(
-        "value_until",
-        F.col("from") + F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-    ).withColumn("value_from", F.col("value_until") - F.col("copies"))
-    hit = (
-        same_bin(stepped, targets)
-        & (targets["rank"] >= stepped["value_from"])
-        & (targets["rank"] < stepped["value_until"])
+    found = targets.join(stepped, [group, "bin"]).where(
+        (F.col("rank") >= F.col("value_until") - F.col("copies"))
+        & (F.col("rank") < F.col("value_until"))
     )
-    found = targets.join(stepped, hit).select(targets[group], "name", "spot", "end", "value")
 
     end = lambda name, which: F.max(
         F.when((F.col("name") == name) & (F.col("end") == which), F.col("value"))
