@@ -295,6 +295,25 @@ def read_payroll(
     return guarded_read(spark, source, path, read)
 
 
+def parse_enrolments(df: DataFrame, column: str) -> DataFrame:
+    """Enrolment elements held as text in a column, as their fields."""
+    ddl = ", ".join(f"{f} string" for f in REQUIRED_COLUMNS["benefits"])
+    return df.select(F.from_xml(column, ddl).alias("e")).select("e.*")
+
+
+def split_enrolments(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(enrolments with trimmed fields, rejects without an employee or a plan)."""
+    fields = REQUIRED_COLUMNS["benefits"]
+    rest = [F.col(c) for c in rows.columns if c not in fields]
+    trimmed = rows.select(*(F.nullif(strip(F.col(f)), F.lit("")).alias(f) for f in fields), *rest)
+    return split_off(
+        trimmed,
+        F.col("employee_id").isNull() | F.col("plan_type").isNull(),
+        "benefits",
+        "Malformed enrollment or missing employee_id/plan_type",
+    )
+
+
 def read_benefits_xml(spark: SparkSession, path: str) -> Ingested:
     """Enrolment elements; a file with a broken element is left out as a whole."""
     source = "benefits"
@@ -323,17 +342,8 @@ def read_benefits_xml(spark: SparkSession, path: str) -> Ingested:
             F.lit("ParseError: malformed XML document").alias("reason"),
             F.to_json(F.struct(F.col("_file").alias("filepath"))).alias("raw_record"),
         )
-        cells = [F.nullif(strip(F.col(f)), F.lit("")).alias(f) for f in fields]
-        rows = (
-            parsed.join(broken, parsed[POSITION]["file"] == broken["_file"], "left_anti")
-            .select(*cells, POSITION)
-        )
-        kept, bad = split_off(
-            rows,
-            F.col("employee_id").isNull() | F.col("plan_type").isNull(),
-            source,
-            "Malformed enrollment or missing employee_id/plan_type",
-        )
+        whole = parsed.join(broken, parsed[POSITION]["file"] == broken["_file"], "left_anti")
+        kept, bad = split_enrolments(whole.drop(_CORRUPT))
         return Ingested(align_employees(kept, source), failures.unionByName(bad))
 
     return guarded_read(spark, source, path, read)
@@ -391,25 +401,24 @@ def read_crm_json(spark: SparkSession, path: str) -> DataFrame:
     return customer_elements(_positioned_elements(docs, "customers"))
 
 
-def read_paged_json(spark: SparkSession, path: str, page_pattern: str = r"(\d+)\D*$") -> DataFrame:
-    """Landed page files of a paged service, in page order.
+def pages_to_read(pages: DataFrame) -> DataFrame:
+    """Pages that a client would have fetched one after the other.
 
-    The page number is the last number of the file name. Pages from the first empty one on
-    are left out, and so are pages after one that states it is the last.
+    Reading stops before an empty page, and after a page whose successor is past the total
+    it states (one page when it states none). The first stop is a single number.
     """
+    is_empty = F.coalesce(F.size("customers"), F.lit(0)) <= 0
+    stated = F.coalesce("total_pages", F.lit(1)).cast("bigint")
+    stops = F.when(is_empty, F.col("page")).when(F.col("page") + 1 > stated, F.col("page") + 1)
+    first_stop = pages.agg(F.min(stops).alias("stop")).first()["stop"]
+    return pages if first_stop is None else pages.where(F.col("page") < first_stop)
+
+
+def read_paged_json(spark: SparkSession, path: str, page_pattern: str = r"(\d+)\D*$") -> DataFrame:
+    """Landed page files of a paged service (S8); the last number of the name is the page."""
     docs = json_elements(spark, path, "customers", "total_pages int")
     page = F.regexp_extract(F.element_at(F.split("_file", "/"), -1), page_pattern, 1)
-    paged = docs.withColumn("page", page.cast("bigint"))
-    is_empty = F.coalesce(F.size("customers"), F.lit(0)) <= 0
-    last_stated = F.coalesce("total_pages", F.lit(1)).cast("bigint")
-    # reading stops before an empty page, and after a page whose next one is past its total
-    stops = paged.select(
-        F.when(is_empty, F.col("page"))
-        .when(F.col("page") + 1 > last_stated, F.col("page") + 1)
-        .alias("stop")
-    ).agg(F.min("stop").alias("stop"))
-    first_stop = stops.first()["stop"]
-    kept = paged if first_stop is None else paged.where(F.col("page") < first_stop)
+    kept = pages_to_read(docs.withColumn("page", page.cast("bigint")))
     return customer_elements(_positioned_elements(kept, "customers"))
 
 
