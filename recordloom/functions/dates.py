@@ -36,13 +36,17 @@ def iso_timestamp(c: Column) -> Column:
     )
 
 
-def mixed_timestamp(c: Column) -> Column:
-    """First accepted format that fits, then ISO-8601, else null."""
-    text = normalize_text(c.cast("string"))
+def first_format(text: Column) -> Column:
+    """Normalised text by the first accepted format that fits, then ISO-8601, else null."""
     tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS]
     return F.coalesce(*tried, iso_timestamp(text))
 
 
+def mixed_timestamp(c: Column) -> Column:
+    """Date text in any accepted form to a zone-free UTC timestamp, else null."""
+    return first_format(normalize_text(c.cast("string")))
+
+
 def midnight(day: dt.date) -> Column:
     return F.lit(day.isoformat()).cast("timestamp_ntz")
 
@@ -56,21 +60,24 @@ def with_dates(
     """Parse date columns and add ``<column>_invalid``.
 
     Unparsable text and dates before ``earliest`` or after the start of ``as_of`` are
-    flagged; a date out of range is kept for review.
+    flagged; a date out of range is kept for review. Each step reads the one before as
+    plain columns, so a text is normalised once and not once per format.
     """
     present = [name for name in columns if name in df.columns]
-    parsed_name = {name: f"_parsed_{name}" for name in present}
-    parsed = df.withColumns({parsed_name[n]: mixed_timestamp(F.col(n)) for n in present})
-    low = F.lit(earliest).cast("timestamp_ntz")
-    out = {}
-    for name in present:
-        value = F.col(parsed_name[name])
-        unparsable = F.col(name).isNotNull() & value.isNull()
-        outside = F.coalesce((value < low) | (value > midnight(as_of)), F.lit(False))
-        out[f"{name}_invalid"] = unparsable | outside
-    flagged = parsed.withColumns(out) if out else parsed
-    return flagged.withColumns({n: F.col(parsed_name[n]) for n in present}).drop(
-        *parsed_name.values()
+    if not present:
+        return df
+    texts = df.withColumns({f"_text_{n}": normalize_text(F.col(n).cast("string")) for n in present})
+    parsed = texts.withColumns({f"_date_{n}": first_format(F.col(f"_text_{n}")) for n in present})
+    low, high = (f"CAST('{day}' AS TIMESTAMP_NTZ)" for day in (earliest, as_of.isoformat()))
+    flag = "({n} IS NOT NULL AND {d} IS NULL) OR coalesce({d} < {low} OR {d} > {high}, false)"
+    flags = {
+        f"{n}_invalid": F.expr(flag.format(n=f"`{n}`", d=f"`_date_{n}`", low=low, high=high))
+        for n in present
+    }
+    return (
+        parsed.withColumns(flags)
+        .withColumns({n: F.col(f"_date_{n}") for n in present})
+        .drop(*(f"_{kind}_{n}" for n in present for kind in ("text", "date")))
     )
 
 

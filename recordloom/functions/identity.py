@@ -11,15 +11,18 @@ from recordloom.config import UNKNOWN_PRIORITY, EmployeeRules
 from recordloom.functions.text import lookup, strip
 
 
+# the first digit run when it is at most 999999, without its leading zeros
+_SIX_DIGITS = r"^\D*0*(\d{1,6})(?!\d)"
+
+
 def namespaced_id(raw: Column, company: Column, prefixes: Mapping[str, str]) -> Column:
     """Company prefix and the first digit run, padded to six digits.
 
-    The range is tested before padding because ``lpad`` cuts longer numbers.
+    Longer numbers must not reach ``lpad``, which would cut them.
     """
-    number = F.regexp_extract(strip(raw.cast("string")), r"(\d+)", 1).try_cast("bigint")
+    digits = F.nullif(F.regexp_extract(raw.cast("string"), _SIX_DIGITS, 1), F.lit(""))
     prefix = lookup(F.lower(strip(company)), prefixes)
-    padded = F.lpad(number.cast("string"), 6, "0")
-    return F.when(number.between(0, 999_999), F.concat(prefix, F.lit("-"), padded))
+    return F.concat(prefix, F.lit("-"), F.lpad(digits, 6, "0"))
 
 
 def unformattable(raw: Column, formatted: Column) -> Column:

@@ -16,9 +16,9 @@ def two_places(c: Column) -> Column:
 
 def parse_money(c: Column) -> Column:
     """Amount with symbols and separators removed; ``(x)`` is negated (F8)."""
-    text = strip(c.cast("string"))
+    text = c.cast("string")
     amount = F.regexp_replace(text, r"[^\d.\-]", "").try_cast("double")
-    return F.when(text.rlike(r"^\(.*\)$"), -amount).otherwise(amount)
+    return amount * F.when(text.rlike(r"(?U)^\s*\(.*\)\s*$"), -1.0).otherwise(1.0)
 
 
 def clip_upper(c: Column, limit: float) -> Column:

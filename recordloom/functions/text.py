@@ -15,10 +15,17 @@ _MARK = "\u0001 "
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def sql_literal(value: object) -> str:
+    """A constant in SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value}D" if isinstance(value, float) else str(value)
+
+
 def lookup(key: Column, mapping: Mapping[str, object]) -> Column:
     """Value of ``key`` in a small constant map, null when absent."""
-    entries = [F.lit(item) for pair in mapping.items() for item in pair]
-    return F.create_map(*entries)[key]
+    entries = ", ".join(sql_literal(item) for pair in mapping.items() for item in pair)
+    return F.element_at(F.expr(f"map({entries})"), key)
 
 
 def strip(c: Column) -> Column:
@@ -98,14 +105,10 @@ def with_department(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     if "department" not in df.columns:
         return df
     source = "department_original" if "department_original" in df.columns else "department"
-    original = F.col(source)
-    mapped = map_taxonomy(original, mapping)
-    return df.withColumns(
-        {
-            "department_original": original,
-            "department_unmapped": original.isNotNull() & mapped.isNull(),
-            "department": mapped,
-        }
+    mapped = map_taxonomy(F.col(source), mapping)
+    # mapped once, and read by the flag as a plain column
+    return df.withColumns({"department_original": F.col(source), "department": mapped}).withColumn(
+        "department_unmapped", F.expr("department_original IS NOT NULL AND department IS NULL")
     )
 
 

@@ -36,16 +36,22 @@ def latest_first(c: Column) -> list[Column]:
     return [c.isNull(), -micros]
 
 
-def first_non_null(name: str, order: Sequence[Column]) -> Column:
-    """First value of a column that is not null, in the given order.
+_ORDER = "_order"
+
+
+def with_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The order keys of every row as one struct, worked out once per row."""
+    return df.withColumn(_ORDER, F.struct(*(k.alias(f"k{i}") for i, k in enumerate(order))))
+
+
+def first_non_null(name: str) -> Column:
+    """First value of a column that is not null, in the order of ``with_order``.
 
     The smallest ``(order, value)`` pair is a plain minimum, so it is combined before the
     shuffle; the value itself settles what the order leaves open.
     """
-    value = F.col(name)
-    keys = [k.alias(f"k{i}") for i, k in enumerate(order)]
-    pair = F.struct(*keys, value.alias("value"))
-    return F.min(F.when(value.isNotNull(), pair))["value"].alias(name)
+    pair = f"CASE WHEN `{name}` IS NOT NULL THEN struct({_ORDER}, `{name}` AS value) END"
+    return F.expr(f"min({pair}).value AS `{name}`")
 
 
 def _file_order(df: DataFrame) -> list[Column]:
@@ -61,9 +67,9 @@ def aggregate_payroll(payroll: DataFrame, rules: EmployeeRules) -> DataFrame:
     ]
     wanted = [c for c in ("company_origin", *PAYROLL_FIELDS) if c in payroll.columns]
     return (
-        payroll.where(F.col("employee_id").isNotNull())
+        with_order(payroll.where(F.col("employee_id").isNotNull()), order)
         .groupBy("employee_id")
-        .agg(*(first_non_null(c, order) for c in wanted))
+        .agg(*map(first_non_null, wanted))
         .withColumn("source_system", F.lit("payroll"))
     )
 
@@ -144,9 +150,9 @@ def collapse_by_id(hris: DataFrame, rules: EmployeeRules) -> DataFrame:
     values = [c for c in hris.columns if c not in ("employee_id", POSITION)]
     merged = F.when(F.count("*") > 1, "exact_id").otherwise("single_source")
     return (
-        hris.where(F.col("employee_id").isNotNull())
+        with_order(hris.where(F.col("employee_id").isNotNull()), order)
         .groupBy("employee_id")
-        .agg(*(first_non_null(c, order) for c in values), merged.alias("dedup_method"))
+        .agg(*map(first_non_null, values), merged.alias("dedup_method"))
         .withColumn("source_systems", F.col("source_system"))
     )
 
@@ -204,9 +210,9 @@ def detect_ghosts(payroll: DataFrame, employee_ids: DataFrame) -> DataFrame:
     wanted = ("first_name", "last_name", "salary_usd_annual", "company_origin")
     present = [c for c in wanted if c in payroll.columns]
     latest = (
-        payroll.where(F.col("employee_id").isNotNull())
+        with_order(payroll.where(F.col("employee_id").isNotNull()), order)
         .groupBy("employee_id")
-        .agg(*(first_non_null(c, order) for c in present))
+        .agg(*map(first_non_null, present))
     )
     name_parts = [F.col(c) if c in present else F.lit(None) for c in wanted[:2]]
     return latest.join(employee_ids.select("employee_id"), "employee_id", "left_anti").select(
@@ -257,10 +263,10 @@ def merge_by_email(employees: DataFrame, rules: EmployeeRules) -> DataFrame:
     values = [c for c in employees.columns if c not in ("source_systems", "dedup_method")]
     parts = F.split(F.coalesce("source_systems", "source_system"), ",")
     merged = (
-        flagged.where(F.col("_crossing"))
+        with_order(flagged.where(F.col("_crossing")), order)
         .groupBy("_key")
         .agg(
-            *(first_non_null(c, order) for c in values),
+            *map(first_non_null, values),
             F.flatten(F.collect_set(parts)).alias("_sources"),
         )
         .withColumns(
@@ -319,15 +325,14 @@ def merge_customers(customers: DataFrame, rules: CustomerRules) -> DataFrame:
     # file order settles ties within a source; without it the rows' own values do
     ties = _file_order(customers) or [F.col(c) for c in (*_FILLED, *from_best)]
     order = [F.col("source_priority"), F.col("source"), *ties]
-    keys = [k.alias(f"k{i}") for i, k in enumerate(order)]
-    best = F.min(F.struct(*keys, F.struct(*from_best).alias("row")))["row"]
+    best = F.min(F.struct(_ORDER, F.struct(*from_best).alias("row")))["row"]
     by_rank = F.array_sort(F.collect_set(F.struct("source_priority", "source")))
     merged = (
-        ranked.where(F.col("email_valid"))
+        with_order(ranked.where(F.col("email_valid")), order)
         .groupBy("email")
         .agg(
             best.alias("_best"),
-            *(first_non_null(c, order) for c in _FILLED),
+            *map(first_non_null, _FILLED),
             F.max("opt_out").alias("opt_out"),
             by_rank.alias("_sources"),
         )

@@ -17,7 +17,7 @@ from recordloom.config import (
     EMPLOYEE_SCHEMA,
     POSITION,
 )
-from recordloom.functions.text import strip
+from recordloom.functions.text import sql_literal, strip
 
 
 def normalize_headers(names: Iterable[str]) -> list[str]:
@@ -41,18 +41,19 @@ def flatten_json(df: DataFrame, sep: str = "_") -> DataFrame:
     return df.select(*leaves(df.schema, ()))
 
 
-def _fit(df: DataFrame, schema: Mapping[str, str], fixed: Mapping[str, Column]) -> DataFrame:
-    """Exactly the columns of ``schema``, in order and typed; absent ones are null."""
+def _fit(df: DataFrame, schema: Mapping[str, str], fixed: Mapping[str, str]) -> DataFrame:
+    """Exactly the columns of ``schema``, in order and typed; absent ones are null.
 
-    def column(name: str, kind: str) -> Column:
-        if name in fixed:
-            return fixed[name].alias(name)
-        if name not in df.columns:
-            return F.lit(None).cast(kind).alias(name)
-        return F.col(f"`{name}`").try_cast(kind).alias(name)
+    ``fixed`` gives SQL expressions for columns that do not simply keep their value.
+    """
+    present = set(df.columns)
 
-    lineage = [F.col(POSITION)] if POSITION in df.columns else []
-    return df.select(*(column(n, k) for n, k in schema.items()), *lineage)
+    def column(name: str, kind: str) -> str:
+        value = fixed.get(name) or (f"try_cast(`{name}` AS {kind})" if name in present else f"CAST(NULL AS {kind})")
+        return f"{value} AS `{name}`"
+
+    lineage = [POSITION] if POSITION in present else []
+    return df.selectExpr(*(column(n, k) for n, k in schema.items()), *lineage)
 
 
 def align_employees(df: DataFrame, source: str) -> DataFrame:
@@ -60,14 +61,14 @@ def align_employees(df: DataFrame, source: str) -> DataFrame:
     if source not in EMPLOYEE_COLUMN_MAPS:
         raise ValueError(f"No column map for source {source!r}")
     renamed = df.withColumnsRenamed(dict(EMPLOYEE_COLUMN_MAPS[source]))
-    fixed: dict[str, Column] = {"source_system": F.lit(source)}
+    fixed = {"source_system": sql_literal(source)}
     if source in COMPANY_OF_SOURCE:
-        fixed["company_origin"] = F.lit(COMPANY_OF_SOURCE[source])
+        fixed["company_origin"] = sql_literal(COMPANY_OF_SOURCE[source])
     elif "company_origin" in renamed.columns:
-        fixed["company_origin"] = strip(F.col("company_origin").cast("string"))
+        renamed = renamed.withColumn("company_origin", strip(F.col("company_origin").cast("string")))
     if source == "benefits":
-        fixed["benefits_enrolled"] = F.lit(True)
-        fixed["benefit_plan_count"] = F.lit(1).cast("bigint")
+        fixed["benefits_enrolled"] = "true"
+        fixed["benefit_plan_count"] = "1L"
     return _fit(renamed, EMPLOYEE_SCHEMA, fixed)
 
 

@@ -116,7 +116,7 @@ _NO_ID = "trim(coalesce(employee_id, '')) = ''"
     o.query(
         f"SELECT source_system, reason, CAST(raw_record AS VARCHAR) AS raw_record FROM ({_reject_sql('globaltech_hris', 'Missing required identity field: employee_id', _NO_ID)}"
         f" UNION ALL {_reject_sql('payroll', 'Missing required identity field: employee_id', _NO_ID)} UNION ALL "
-        + _reject_sql("payroll", "Unknown payroll company source", f"NOT ({_NO_ID}) AND NOT coalesce(source IN (''GlobalTech'', ''AcquiredCo''), false)".replace("''", "'"))
+        + _reject_sql("payroll", "Unknown payroll company source", f"NOT ({_NO_ID}) AND NOT coalesce(source IN ('GlobalTech', 'AcquiredCo'), false)")
         + ")"
     ),
 )
