@@ -11,15 +11,11 @@ from pyspark.sql import functions as F
 from recordloom.config import DATE_COLUMNS
 from recordloom.functions.text import normalize_text
 
-# Accepted date formats, in the order they are tried
-DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "M/d/yyyy",
-    "d-MMM-yyyy",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss'Z'",
-    "yyyy-MM-dd HH:mm:ss",
-)
+# Accepted date formats besides the ISO-8601 ones, and what they look like
+DATE_FORMATS = {
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "d-MMM-yyyy": r"^\d{1,2}-[A-Za-z]{3}-\d{4}$",
+}
 
 _ISO_START = r"^\d{4}-\d{2}-\d{2}"
 _ISO_ZONE = r"^\d{4}-\d{2}-\d{2}[T ].*(Z|[+-]\d{2}:?\d{2})$"
@@ -37,9 +33,16 @@ def iso_timestamp(c: Column) -> Column:
 
 
 def first_format(text: Column) -> Column:
-    """Normalised text by the first accepted format that fits, then ISO-8601, else null."""
-    tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS]
-    return F.coalesce(*tried, iso_timestamp(text))
+    """Normalised text by the accepted format it looks like, else ISO-8601, else null.
+
+    The shapes exclude each other. Looking first spares the failed parses, each of which
+    costs an exception, that trying one format after the other would mean.
+    """
+    parsed = iso_timestamp(text)
+    for pattern, shape in DATE_FORMATS.items():
+        stamp = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+        parsed = F.when(text.rlike(shape), stamp).otherwise(parsed)
+    return parsed
 
 
 def mixed_timestamp(c: Column) -> Column:

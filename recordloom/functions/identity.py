@@ -54,7 +54,7 @@ def provenance(sources: Column, priorities: Mapping[str, int]) -> Column:
     """Array of source names to a comma list in (priority, name) order."""
     names = F.array_distinct(F.transform(sources, lambda s: F.trim(s)))
     kept = F.filter(names, lambda s: s.isNotNull() & ~s.isin("", "nan", "<NA>"))
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.transform(kept, lambda s: F.struct(source_priority(s, priorities).alias("p"), s.alias("s")))
     )
     return F.array_join(F.transform(ranked, lambda r: r["s"]), ",")

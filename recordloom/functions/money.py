@@ -18,7 +18,7 @@ def parse_money(c: Column) -> Column:
     """Amount with symbols and separators removed; ``(x)`` is negated (F8)."""
     text = c.cast("string")
     amount = F.regexp_replace(text, r"[^\d.\-]", "").try_cast("double")
-    return amount * F.when(text.rlike(r"(?U)^\s*\(.*\)\s*$"), -1.0).otherwise(1.0)
+    return amount * F.when(strip(text).rlike(r"^\(.*\)$"), -1.0).otherwise(1.0)
 
 
 def clip_upper(c: Column, limit: float) -> Column:
@@ -72,6 +72,6 @@ def salary_issues(df: DataFrame, rules: EmployeeRules) -> DataFrame:
         F.coalesce(F.sum("unknown_currency"), F.lit(0)).alias("unknown_currency"),
         F.coalesce(F.sum("unknown_frequency"), F.lit(0)).alias("unknown_frequency"),
         F.array_join(
-            F.array_sort(F.collect_set(F.when(F.col("bad_currency"), F.col("currency")))), ","
+            F.sort_array(F.collect_set(F.when(F.col("bad_currency"), F.col("currency")))), ","
         ).alias("unknown_currencies"),
     )

@@ -18,7 +18,7 @@ _WORD_BITS = 64
 
 def sorted_tokens(name: Column) -> Column:
     """Blank-separated tokens in code point order."""
-    return F.array_join(F.array_sort(F.split(name, " ")), " ")
+    return F.array_join(F.sort_array(F.split(name, " ")), " ")
 
 
 def _code_points(texts: list[str], width: int) -> np.ndarray:

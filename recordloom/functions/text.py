@@ -7,8 +7,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separators
-SPACES = r"(?U)[\s\x1c-\x1f]+"
+# every Unicode white space and the four ASCII separators, one by one
+_BLANKS = (
+    " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SPACES = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# printable ASCII words with single blanks: already in normal form
+_NORMAL = r"^[!-~]+( [!-~]+)*$"
 # A letter that follows something which is neither a letter nor white space
 _INNER_WORD = r"(?<=[^\p{L}\s])(?=\p{L})"
 _MARK = "\u0001 "
@@ -30,7 +36,7 @@ def lookup(key: Column, mapping: Mapping[str, object]) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def is_blank(c: Column) -> Column:
@@ -43,6 +49,13 @@ def null_tokens(c: Column, tokens: Iterable[str]) -> Column:
     return F.when(c.isin(*tokens), None).otherwise(c)
 
 
+def _without(c: Column, *texts: str) -> Column:
+    """Null instead of one of the texts; ``nullif`` evaluates ``c`` once."""
+    for text in texts:
+        c = F.nullif(c, F.lit(text))
+    return c
+
+
 def number_or_null(c: Column) -> Column:
     """Plain decimal text to double; anything else, ``1d`` and ``nan`` included, to null."""
     text = c.cast("string")
@@ -52,14 +65,16 @@ def number_or_null(c: Column) -> Column:
 def normalize_text(c: Column) -> Column:
     """NFKC, one blank between words, no outer blanks, empty to null (F1).
 
-    NFKC leaves ASCII alone, so only other rows pay for it. It is done inside the JVM by
-    the Unicode library that ships with Spark, reached with the SQL function ``reflect``.
+    Most texts are in that form already and pass on one match. NFKC leaves ASCII alone, so
+    only other rows pay for it; it is done inside the JVM by the Unicode library that ships
+    with Spark, reached with the SQL function ``reflect``.
     """
     composed = F.reflect(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True)
     )
     text = F.when(c.rlike(r"[^\x00-\x7F]"), composed).otherwise(c)
-    return F.nullif(F.trim(F.regexp_replace(text, SPACES, " ")), F.lit(""))
+    full = F.nullif(F.trim(F.regexp_replace(text, SPACES, " ")), F.lit(""))
+    return F.when(c.rlike(_NORMAL), c).otherwise(full)
 
 
 def title_case(c: Column) -> Column:
@@ -80,7 +95,7 @@ def person_name(c: Column) -> Column:
 def customer_name(c: Column) -> Column:
     """Customer name part: collapse blanks, title case, null texts to null."""
     name = title_case(F.trim(F.regexp_replace(c, SPACES, " ")))
-    return F.when(~name.isin("Nan", "None", ""), name)
+    return _without(name, "Nan", "None", "")
 
 
 def full_name(first: Column, last: Column) -> Column:
@@ -119,8 +134,7 @@ def email_key(c: Column) -> Column:
 
 def customer_email(c: Column) -> Column:
     """Lower case without any white space, null texts to null."""
-    text = F.regexp_replace(F.lower(c), SPACES, "")
-    return F.when(~text.isin("nan", "none", ""), text)
+    return _without(F.regexp_replace(F.lower(c), SPACES, ""), "nan", "none", "")
 
 
 def matches(c: Column, pattern: str) -> Column:

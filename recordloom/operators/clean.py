@@ -56,19 +56,20 @@ def unknown_employment_types(df: DataFrame, rules: EmployeeRules) -> DataFrame:
 
 def clean_customers(df: DataFrame, rules: CustomerRules) -> DataFrame:
     """E-mail, names, phone, region and date of stacked customer rows."""
-    email = customer_email(F.col("email"))
-    return df.withColumns(
+    dated = df.schema["registration_date"].dataType.typeName().startswith("timestamp")
+    date = F.col("registration_date")
+    cleaned = df.withColumns(
         {
             "email_raw": F.col("email"),
-            "email": email,
-            "email_valid": matches(email, rules.email_pattern),
+            "email": customer_email(F.col("email")),
             "first_name": customer_name(F.col("first_name")),
             "last_name": customer_name(F.col("last_name")),
             "phone": phone_digits(F.col("phone")),
             "region": region_code(F.col("region"), rules.regions),
-            "registration_date": iso_timestamp(F.col("registration_date")),
+            "registration_date": date.cast("timestamp_ntz") if dated else iso_timestamp(date),
         }
     )
+    return cleaned.withColumn("email_valid", matches(F.col("email"), rules.email_pattern))
 
 
 def apply_inferred_regions(

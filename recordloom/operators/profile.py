@@ -259,7 +259,7 @@ def ingestion_summary(frames: Mapping[str, DataFrame]) -> DataFrame:
             F.count("*").alias("records"),
             F.count_if(F.col("source_system") == source).alias("tagged"),
         )
-        companies = F.array_join(F.array_sort(F.collect_set("company_origin")), ", ")
+        companies = F.array_join(F.sort_array(F.collect_set("company_origin")), ", ")
         lines.append(
             per_company.agg(
                 F.lit(source).alias("source_system"),

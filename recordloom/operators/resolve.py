@@ -78,7 +78,8 @@ def aggregate_benefits(benefits: DataFrame) -> DataFrame:
     """One benefits profile per employee, lists in enrolment order (A2).
 
     Equal enrolments are counted first, spread over all their columns, and only the counts
-    come together per employee. The list state is therefore the number of different
+    come together per employee. The company is one of the columns because the counts then
+    have fixed-width buffers, which hash aggregation needs. The list state is therefore the number of different
     (date, plan, level) triples, not the number of rows; the copies come back when the text
     is put together. Plans on one day are ordered by plan, then level.
     """
@@ -88,6 +89,7 @@ def aggregate_benefits(benefits: DataFrame) -> DataFrame:
         benefits.where(F.col("employee_id").isNotNull())
         .groupBy(
             "employee_id",
+            "company_origin",
             date.alias("date"),
             label("benefit_plans").alias("plan"),
             label("benefit_coverage_level").alias("level"),
@@ -95,14 +97,13 @@ def aggregate_benefits(benefits: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("copies"),
             F.count("benefit_plans").alias("plans"),
-            F.min("company_origin").alias("company_origin"),
             F.max("benefits_enrolled").alias("enrolled"),
             F.sum("premium_employee").alias("premium_employee"),
             F.sum("premium_employer").alias("premium_employer"),
         )
     )
     entry = F.struct(F.col("date").isNull().alias("undated"), "date", "plan", "level", "copies")
-    ordered = F.array_sort(F.collect_list(entry))
+    ordered = F.sort_array(F.collect_list(entry))
 
     def joined(part: str) -> Column:
         repeated = F.transform("entries", lambda e: F.array_repeat(e[part], e["copies"].cast("int")))
@@ -326,7 +327,7 @@ def merge_customers(customers: DataFrame, rules: CustomerRules) -> DataFrame:
     ties = _file_order(customers) or [F.col(c) for c in (*_FILLED, *from_best)]
     order = [F.col("source_priority"), F.col("source"), *ties]
     best = F.min(F.struct(_ORDER, F.struct(*from_best).alias("row")))["row"]
-    by_rank = F.array_sort(F.collect_set(F.struct("source_priority", "source")))
+    by_rank = F.sort_array(F.collect_set(F.struct("source_priority", "source")))
     merged = (
         with_order(ranked.where(F.col("email_valid")), order)
         .groupBy("email")

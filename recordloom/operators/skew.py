@@ -5,52 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_BROADCAST_ROWS = 100_000
 
-def _cuts(df: DataFrame, key: str, rows_per_task: int, name: str) -> DataFrame:
-    """Keys with more rows than one task should take, and into how many parts they go."""
+
+def hot_keys(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """Keys over the limit on either side, and the lines and columns to cut them into.
+
+    There are at most ``rows / rows_per_task`` of them. Partial sums are built before the
+    shuffle, so a hot key costs one row per task.
+    """
+    both = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    parts = lambda n: F.greatest(F.ceil(F.col(n) / rows_per_task), F.lit(1)).cast("bigint")
     return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > rows_per_task)
-        .select(key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(name))
+        both.groupBy(key)
+        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        .where(F.greatest("l", "r") > rows_per_task)
+        .where(F.least("l", "r") > 0)
+        .select(key, parts("l").alias("_lines"), parts("r").alias("_columns"))
     )
 
 
+def _place(df: DataFrame, hot: DataFrame, key: str, own: str, other: str, cell: tuple[str, str]) -> DataFrame:
+    """Each row in one line of its key's grid, repeated along the other direction."""
+    cols = [c for c in df.columns if c != key]
+    mine = F.coalesce(F.pmod(F.xxhash64(*cols), F.col(own)), F.lit(0).cast("bigint"))
+    last = F.coalesce(F.col(other), F.lit(1).cast("bigint")) - 1
+    repeated = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    return df.join(hot, key, "left").select(key, *cols, mine.alias(cell[0]), repeated.alias(cell[1]))
+
+
 def grid_join(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -> DataFrame:
     """Inner join on ``key`` with the same rows as a plain join.
 
     A key with ``m`` rows on the left and ``n`` on the right is ``m * n`` comparisons. When
     either side is over ``rows_per_task`` the key is cut into a grid: a left row goes to one
     line of it and is repeated along the columns, a right row the other way round, so each
-    pair meets in exactly one cell. Keys below the limit stay as they are. How often a key
-    occurs is counted with partial sums, and the table of hot keys has at most
-    ``rows / rows_per_task`` lines, so the planner may broadcast it when it is small and
-    splits the larger side by size when it is not.
-    """
-    hot = (
-        _cuts(left, key, rows_per_task, "_lines")
-        .join(_cuts(right, key, rows_per_task, "_columns"), key, "full")
-        .select(
-            key,
-            F.coalesce("_lines", F.lit(1)).alias("_lines"),
-            F.coalesce("_columns", F.lit(1)).alias("_columns"),
-        )
-    )
+    pair meets in exactly one cell.
 
-    def place(df: DataFrame, own: str, other: str, own_cell: str, other_cell: str) -> DataFrame:
-        cols = [c for c in df.columns if c != key]
-        cut = df.join(hot, key, "left")
-        mine = F.when(
-            F.col(own) > 1, F.pmod(F.xxhash64(*cols), F.col(own).cast("bigint"))
-        ).otherwise(F.lit(0).cast("bigint"))
-        last = F.coalesce(F.col(other), F.lit(1)).cast("bigint") - 1
-        return cut.select(
-            key,
-            *cols,
-            mine.alias(own_cell),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias(other_cell),
-        )
-
-    lines = place(left, "_lines", "_columns", "_line", "_column")
-    columns = place(right, "_columns", "_lines", "_column", "_line")
+    Hot keys are counted when the join is built, which runs a job. Without any, the result
+    is the plain join. A few are broadcast; if there are more than a broadcast should
+    carry, they are joined like any other table.
+    """
+    hot = hot_keys(left, right, key, rows_per_task)
+    found = hot.limit(_BROADCAST_ROWS + 1).count()
+    if found == 0:
+        return left.join(right, key)
+    if found <= _BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    lines = _place(left, hot, key, "_lines", "_columns", ("_line", "_column"))
+    columns = _place(right, hot, key, "_columns", "_lines", ("_column", "_line"))
     return lines.join(columns, [key, "_line", "_column"]).drop("_line", "_column")

@@ -76,17 +76,16 @@ COLUMN_DESCRIPTIONS: Mapping[str, str] = {
 
 @dataclass(frozen=True)
 class Resolved:
-    """Result of identity resolution; the two review tables are lazy."""
+    """Result of identity resolution."""
 
     employees: DataFrame
     ghosts: DataFrame
-    probable_matches: DataFrame
 
 
 def resolve_employees(
     frames: Mapping[str, DataFrame], rules: EmployeeRules, folder: str | None = None
 ) -> Resolved:
-    """Exact ids, ghosts, e-mail merge and pairs for review (R2).
+    """Exact ids, ghosts and e-mail merge (R2); pairs for review come from the employees.
 
     With a ``folder`` the employees are written after the exact-id and after the e-mail
     step, because both results are read several times; without one the plan stays lazy.
@@ -97,7 +96,7 @@ def resolve_employees(
     exact = keep(match_exact_ids(hris, frames["payroll"], frames["benefits"], rules), "exact")
     ghosts = detect_ghosts(frames["payroll"], employee_ids(exact))
     employees = keep(ensure_provenance(merge_by_email(exact, rules)), "employees")
-    return Resolved(employees, ghosts, probable_matches(employees, rules))
+    return Resolved(employees, ghosts)
 
 
 def profile_employees(
@@ -148,7 +147,9 @@ class EmployeeJob:
         files.write_dead_letters(union_sources(lost), f"{self.output}/dead_letters")
         found = resolve_employees(cleaned, self.rules, self.stage)
         files.write_ghosts(found.ghosts, f"{self.output}/ghost_employees")
-        files.write_probable_matches(found.probable_matches, f"{self.output}/probable_matches")
+        files.write_probable_matches(
+            probable_matches(found.employees, self.rules), f"{self.output}/probable_matches"
+        )
         return found
 
     def validate(self, employees: DataFrame | None = None, gate: bool = True) -> DataFrame:

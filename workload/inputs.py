@@ -143,12 +143,12 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
         "part",
         {
             "employee_id": "CASE WHEN p_partkey % 2 = 0 THEN 'GT-' ELSE 'AC-' END || lpad(CAST(p_partkey AS STRING), 9, '0')",
-            "first_name": """CASE WHEN p_partkey % 5 = 0 THEN replace(p_name, ' ', '') WHEN p_partkey % 5 = 1 THEN p_name || p_type
-                ELSE p_brand || ' ' || p_name END""",
-            "last_name": "CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 7 = 1 THEN upper(p_type) ELSE p_type || ' ' || CAST(p_size AS STRING) END",
+            "first_name": """CASE p_partkey % 5 WHEN 0 THEN replace(p_name, 'e', '') WHEN 1 THEN p_name || 's' WHEN 2 THEN ' ' || replace(p_name, ' ', '  ')
+                ELSE p_name END""",
+            "last_name": "CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 7 = 1 THEN substr(p_type, 1, 3) ELSE substr(p_type, 1, 4) END",
             "hire_date": """CAST(CAST(2005 + p_partkey * 13 % 15 AS STRING) || '-' || lpad(CAST(1 + p_partkey * 5 % 12 AS STRING), 2, '0') || '-' ||
                 lpad(CAST(1 + p_partkey * 11 % 28 AS STRING), 2, '0') || ' ' || lpad(CAST(p_partkey % 24 AS STRING), 2, '0') || ':00:00' AS {NTZ})""",
-            "company_origin": "CASE WHEN p_partkey % 2 = 0 THEN 'GlobalTech' WHEN p_partkey % 15 = 1 THEN NULL ELSE 'AcquiredCo' END",
+            "company_origin": "CASE WHEN CAST(floor(p_partkey / 7) AS BIGINT) % 2 = 0 THEN 'GlobalTech' WHEN p_partkey % 15 = 1 THEN NULL ELSE 'AcquiredCo' END",
         },
     ),
 }
