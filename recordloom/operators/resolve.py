@@ -231,17 +231,23 @@ def _salted(df: DataFrame, by: str) -> DataFrame:
     return df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(_SALTS)).cast("int"))
 
 
-def merge_by_email(employees: DataFrame, rules: EmployeeRules) -> DataFrame:
+def merge_by_email(
+    employees: DataFrame, rules: EmployeeRules, addresses: DataFrame | None = None
+) -> DataFrame:
     """Merge rows that share an e-mail address across companies.
 
     Every row with such an address is merged, also several of one company. The addresses
     come from a per-address minimum and maximum. Rows look their address up under a salt,
     so that a common address is spread over tasks, and rows without an address use their
     own id as a key that finds nothing, so that they do not pile up either.
+
+    ``addresses`` may give id, company and e-mail of the same employees from a plan that is
+    cheaper than ``employees``.
     """
     key = email_key(F.col("email"))
     crossing = (
-        employees.where(key.isNotNull())
+        (employees if addresses is None else addresses)
+        .where(key.isNotNull())
         .groupBy(key.alias("_key"))
         .agg(
             F.min("company_origin").alias("low"),

@@ -24,6 +24,7 @@ from recordloom.operators.profile import (
 from recordloom.operators.quality import employee_report, enforce_gate
 from recordloom.operators.quarantine import reject_unformattable_ids
 from recordloom.operators.resolve import (
+    collapse_by_id,
     detect_ghosts,
     employee_ids,
     match_exact_ids,
@@ -94,8 +95,10 @@ def resolve_employees(
     keep = (lambda df, name: staged(df, folder, name)) if folder else (lambda df, name: df)
     hris = union_sources([frames["globaltech_hris"], frames["acquiredco_hris"]])
     exact = keep(match_exact_ids(hris, frames["payroll"], frames["benefits"], rules), "exact")
-    ghosts = detect_ghosts(frames["payroll"], employee_ids(exact))
-    employees = keep(ensure_provenance(merge_by_email(exact, rules)), "employees")
+    # ids and addresses come from a written table, or else from the plan without enrichment
+    spine = exact if folder else collapse_by_id(hris, rules)
+    ghosts = detect_ghosts(frames["payroll"], employee_ids(spine))
+    employees = keep(ensure_provenance(merge_by_email(exact, rules, spine)), "employees")
     return Resolved(employees, ghosts)
 
 

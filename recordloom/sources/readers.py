@@ -44,6 +44,7 @@ from recordloom.sources.align import (
     normalize_headers,
     union_sources,
 )
+from recordloom.sources.spread import spread
 
 _CORRUPT = "_corrupt_record"
 _SENTINEL = "\u0002"
@@ -133,7 +134,7 @@ def _read_csv_strings(
         path, multiLine=multi_line, mode="PERMISSIVE"
     )
     cells = [null_tokens(F.col(f"`{n}`"), tokens).alias(n) for n in names]
-    return raw.select(*cells, _CORRUPT, _row_position())
+    return spread(raw.select(*cells, _CORRUPT, _row_position()))
 
 
 def read_hris_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Ingested:
@@ -173,9 +174,7 @@ def json_elements(spark: SparkSession, path: str, array: str, extra: str) -> Dat
 
 
 def _positioned_elements(docs: DataFrame, array: str) -> DataFrame:
-    return docs.select(
-        "_file", F.posexplode(array).alias("_pos", "element")
-    ).select(
+    return spread(docs.select("_file", F.posexplode(array).alias("_pos", "element"))).select(
         "element",
         F.struct(
             F.col("_file").alias("file"),

@@ -71,7 +71,7 @@ def exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf: str) -> DataFrame:
-    return identity.ensure_provenance(resolve.merge_by_email(exact(spark, sf), RULES))
+    return resolve_employees(cleaned(spark, sf), RULES).employees
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -317,7 +317,7 @@ def j_enrich(spark, sf):
 @add("j_ghost", o.query("SELECT * FROM ghosts"))
 def j_ghost(spark, sf):
     """J3, A6."""
-    return resolve.detect_ghosts(clean_one(spark, sf, "payroll"), resolve.employee_ids(exact(spark, sf)))
+    return resolve_employees(cleaned(spark, sf), RULES).ghosts
 
 
 @add("a_email", o.query(f"SELECT {o.golden_cells()} FROM merged"))

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.config import CustomerRules, EmployeeRules
+from recordloom.sources.spread import spread
 
 AS_OF = dt.date(2015, 6, 30)
 EMPLOYEE_RULES = EmployeeRules(as_of=AS_OF)
@@ -161,7 +162,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A dirty source as a DataFrame."""
     origin, columns = SOURCES[name]
-    return table(spark, sf_dir, origin).selectExpr(
+    return spread(table(spark, sf_dir, origin)).selectExpr(
         *(f"{e.replace('{NTZ}', 'TIMESTAMP_NTZ')} AS `{c}`" for c, e in columns.items())
     )
 
