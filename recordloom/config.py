@@ -276,13 +276,15 @@ def session(app: str = "recordloom", master: str | None = None, **conf: str) ->
     """Session with the settings the jobs expect; used by tests, bench and examples.
 
     Cleaning many columns makes generated methods that the JVM would not compile; beyond its
-    limit of 8000 bytes Spark then generates smaller ones.
+    limit of 8000 bytes Spark then generates smaller ones. The whole job has more of them
+    than the default cache of generated classes holds.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
     )

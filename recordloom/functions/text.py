@@ -12,7 +12,11 @@ _BLANKS = (
     " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACES = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# the wide range in front lets printable ASCII fail at once
+SPACES = (
+    r"[\x00-\x20\x7f-\uffff"
+    r"&&[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]+"
+)
 # printable ASCII words with single blanks: already in normal form
 _NORMAL = r"^[!-~]+( [!-~]+)*$"
 # A letter that follows something which is neither a letter nor white space
@@ -132,9 +136,14 @@ def email_key(c: Column) -> Column:
     return F.nullif(F.lower(strip(c)), F.lit(""))
 
 
+def squeezed(c: Column) -> Column:
+    """Lower case without any white space."""
+    return F.regexp_replace(F.lower(c), SPACES, "")
+
+
 def customer_email(c: Column) -> Column:
     """Lower case without any white space, null texts to null."""
-    return _without(F.regexp_replace(F.lower(c), SPACES, ""), "nan", "none", "")
+    return _without(squeezed(c), "nan", "none", "")
 
 
 def matches(c: Column, pattern: str) -> Column:

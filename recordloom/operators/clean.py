@@ -19,6 +19,7 @@ from recordloom.functions.text import (
     person_name,
     phone_digits,
     region_code,
+    squeezed,
     with_department,
 )
 
@@ -58,7 +59,9 @@ def clean_customers(df: DataFrame, rules: CustomerRules) -> DataFrame:
     """E-mail, names, phone, region and date of stacked customer rows."""
     dated = df.schema["registration_date"].dataType.typeName().startswith("timestamp")
     date = F.col("registration_date")
-    cleaned = df.withColumns(
+    # null texts are no valid addresses, so validity needs only the squeezed text; filters on
+    # it are moved to the scan and should not carry more than that
+    return df.withColumns(
         {
             "email_raw": F.col("email"),
             "email": customer_email(F.col("email")),
@@ -67,9 +70,9 @@ def clean_customers(df: DataFrame, rules: CustomerRules) -> DataFrame:
             "phone": phone_digits(F.col("phone")),
             "region": region_code(F.col("region"), rules.regions),
             "registration_date": date.cast("timestamp_ntz") if dated else iso_timestamp(date),
+            "email_valid": matches(squeezed(F.col("email")), rules.email_pattern),
         }
     )
-    return cleaned.withColumn("email_valid", matches(F.col("email"), rules.email_pattern))
 
 
 def apply_inferred_regions(
