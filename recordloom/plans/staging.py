@@ -7,9 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def stage_folder(spark: SparkSession, fallback: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, or under ``fallback`` when unset."""
+def stage_folder(spark: SparkSession, fallback: str | None = None) -> str:
+    """A fresh folder under ``spark.checkpoint.dir``.
+
+    Where that is unset the folder goes under ``fallback``, or else under the warehouse.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_stage"
     return f"{base.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
 
 

@@ -11,6 +11,7 @@ from recordloom.config import BENEFIT_FIELDS, EMPLOYEE_SCHEMA, PAYROLL_FIELDS, P
 from recordloom.functions import dates, identity, money, text
 from recordloom.operators import clean, fuzzy, profile, quality, quarantine, resolve
 from recordloom.plans.employees import COLUMN_DESCRIPTIONS, resolve_employees
+from recordloom.plans.staging import stage_folder, staged
 from recordloom.sinks.files import unmapped_departments
 from recordloom.sources.align import align_employees, union_sources
 from workload import oracle as o
@@ -71,7 +72,8 @@ def exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve_employees(cleaned(spark, sf), RULES).employees
+    """Resolved employees, written once for the several passes that most queries make."""
+    return resolve_employees(cleaned(spark, sf), RULES, stage_folder(spark)).employees
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -323,7 +325,8 @@ def j_ghost(spark, sf):
 @add("a_email", o.query(f"SELECT {o.golden_cells()} FROM merged"))
 def a_email(spark, sf):
     """The merged rows."""
-    merged = resolve.merge_by_email(exact(spark, sf), RULES).where("dedup_method = 'email_match'")
+    once = staged(exact(spark, sf), stage_folder(spark), "exact")
+    merged = resolve.merge_by_email(once, RULES).where("dedup_method = 'email_match'")
     return shown(merged).select(*o.GOLDEN)
 
 
@@ -340,7 +343,8 @@ _REFERENCES = """SELECT count(*) AS total, count(*) FILTER (WHERE manager_id NOT
 @add("j_reference", o.query(_REFERENCES.format(t="exact")))
 def j_reference(spark, sf):
     """J4."""
-    return resolve.dangling_references(exact(spark, sf), "manager_id", "employee_id")
+    spine = resolve.collapse_by_id(hris(spark, sf), RULES)
+    return resolve.dangling_references(spine, "manager_id", "employee_id")
 
 
 @add("k_unmapped", o.query("SELECT source_system, company_origin, department_original, count(*) AS record_count FROM hris WHERE department_unmapped GROUP BY ALL"))
@@ -590,7 +594,7 @@ def e_golden_by_company(spark, sf):
 def e_run_summary(spark, sf):
     """A25."""
     frames = cleaned(spark, sf)
-    found = resolve_employees(frames, RULES)
+    found = resolve_employees(frames, RULES, stage_folder(spark))
     return profile.run_summary(
         frames, {"ghost_employees": found.ghosts, "employees": found.employees}, found.employees
     )
