@@ -77,10 +77,11 @@ COLUMN_DESCRIPTIONS: Mapping[str, str] = {
 
 @dataclass(frozen=True)
 class Resolved:
-    """Result of identity resolution."""
+    """Result of identity resolution; pairs for review only where they were asked for."""
 
     employees: DataFrame
     ghosts: DataFrame
+    probable_matches: DataFrame | None = None
 
 
 def resolve_employees(
@@ -140,7 +141,9 @@ class EmployeeJob:
         return frames
 
     def clean(self, frames: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-        cleaned = clean_all_employees(self.ingest() if frames is None else frames, self.rules)
+        """Cleaned sources, written once: the later stages read them several times."""
+        lazy = clean_all_employees(self.ingest() if frames is None else frames, self.rules)
+        cleaned = {name: staged(df, self.stage, name) for name, df in lazy.items()}
         files.write_unmapped(cleaned.values(), f"{self.output}/unmapped_departments")
         return cleaned
 
@@ -149,11 +152,10 @@ class EmployeeJob:
         lost = [reject_unformattable_ids(df, name)[1] for name, df in cleaned.items()]
         files.write_dead_letters(union_sources(lost), f"{self.output}/dead_letters")
         found = resolve_employees(cleaned, self.rules, self.stage)
+        matches = staged(probable_matches(found.employees, self.rules), self.stage, "matches")
         files.write_ghosts(found.ghosts, f"{self.output}/ghost_employees")
-        files.write_probable_matches(
-            probable_matches(found.employees, self.rules), f"{self.output}/probable_matches"
-        )
-        return found
+        files.write_probable_matches(matches, f"{self.output}/probable_matches")
+        return Resolved(found.employees, found.ghosts, matches)
 
     def validate(self, employees: DataFrame | None = None, gate: bool = True) -> DataFrame:
         """The report is written before the gate may raise."""
@@ -180,17 +182,26 @@ class EmployeeJob:
             for name, df in tables.items()
         }
 
-    def publish(self, employees: DataFrame | None = None) -> dict[str, str]:
-        """Golden table and column table."""
-        employees = self.resolve().employees if employees is None else employees
-        golden = files.write_golden(employees, f"{self.output}/golden_employees")
+    def publish(
+        self,
+        employees: DataFrame | None = None,
+        ghosts: DataFrame | None = None,
+        matches: DataFrame | None = None,
+    ) -> dict[str, str]:
+        """Review files, golden table and column table, in that order."""
+        if employees is None or ghosts is None:
+            found = self.resolve()
+            employees = found.employees if employees is None else employees
+            ghosts = found.ghosts if ghosts is None else ghosts
+        matches = probable_matches(employees, self.rules) if matches is None else matches
         columns = column_profile(employees, COLUMN_DESCRIPTIONS, key="employee_id")
-        schema = files.write_review_csv(columns, f"{self.output}/columns", single_file=True)
         return {
-            "ghost_employees": f"{self.output}/ghost_employees",
-            "probable_matches": f"{self.output}/probable_matches",
-            "golden_employees": golden,
-            "columns": schema,
+            "ghost_employees": files.write_ghosts(ghosts, f"{self.output}/ghost_employees"),
+            "probable_matches": files.write_probable_matches(
+                matches, f"{self.output}/probable_matches"
+            ),
+            "golden_employees": files.write_golden(employees, f"{self.output}/golden_employees"),
+            "columns": files.write_review_csv(columns, f"{self.output}/columns", single_file=True),
         }
 
     def run(self) -> dict[str, str]:
@@ -198,4 +209,5 @@ class EmployeeJob:
         found = self.resolve(self.clean(self.ingest()))
         report = self.validate(found.employees)
         profiles = self.profile(found.employees, report)
-        return {**self.publish(found.employees), **profiles}
+        published = self.publish(found.employees, found.ghosts, found.probable_matches)
+        return {**published, **profiles}

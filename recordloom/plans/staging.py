@@ -22,7 +22,8 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write a frame and read it back: readers prune columns, and lineage ends here.
 
     A table outlives the executors that wrote it, so a lost one costs no recomputation.
+    Every call writes a table of its own and never replaces one that is being read.
     """
-    path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

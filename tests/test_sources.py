@@ -63,7 +63,7 @@ def test_hris_json(spark, paths):
     assert rows["7"].hire_date == "2021-03-20T00:00:00Z" and rows["7"].company_origin == "AcquiredCo"
     bad = reasons(got.rejects)
     assert len(bad) == 5
-    assert [r["raw_value"] for _, r in bad if "raw_value" in r] == ["just text", "5", None]
+    assert {r["raw_value"] for _, r in bad if "raw_value" in r} == {"just text", "5", None}
 
 
 def test_json_document_that_cannot_be_read(spark, tmp_path):
@@ -167,3 +167,11 @@ def test_paged_stop_rules(spark, tmp_path):
 def test_over_long(spark, line, expected):
     df = spark.createDataFrame([(line,)], "l string")
     assert df.select(readers.over_long(F.col("l"), 2)).first()[0] is expected
+
+
+def test_spread_only_when_tasks_are_missing(spark):
+    from recordloom.sources.spread import spread
+
+    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(100).repartition(9)
+    assert spread(many) is many
