@@ -121,7 +121,8 @@ def test_flatten(spark):
 
 
 def test_customer_sources(spark, customer_paths, customer_rules):
-    rows = readers.ingest_customers(spark, customer_paths, customer_rules).drop(POSITION).collect()
+    stacked = readers.ingest_customers(spark, customer_paths, customer_rules)
+    rows = stacked.orderBy("source", POSITION).drop(POSITION).collect()
     assert list(rows[0].asDict()) == list(CUSTOMER_SCHEMA)
     web = [r for r in rows if r.source == "website"]
     assert [(r.first_name, r.last_name, r.region) for r in web] == [("josé", None, "usa"), ("Ann", None, None), ("No", "Mail", "EMEA")]
