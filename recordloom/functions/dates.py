@@ -84,6 +84,12 @@ def with_dates(
     )
 
 
+def epoch_micros(c: Column) -> Column:
+    """Microseconds since 1970 on a clock without zones or summer time."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
+
+
 def tenure_days(date: Column, as_of: dt.date) -> Column:
     """Whole 24-hour periods up to the start of ``as_of``, never below zero."""
     days = F.timestamp_diff("DAY", date, midnight(as_of))

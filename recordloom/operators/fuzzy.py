@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.config import EmployeeRules
+from recordloom.functions.dates import epoch_micros
 from recordloom.functions.similarity import lcs_length, score_of, sorted_tokens
 from recordloom.functions.text import full_name
 from recordloom.operators.resolve import company_rank
@@ -52,7 +53,7 @@ REVIEW_COLUMNS = (
 def _candidates_rows(employees: DataFrame, rules: EmployeeRules) -> DataFrame:
     """Rows that can take part (P11) with their cell, slot and place in the total order."""
     width = (rules.fuzzy_window_days + 1) * _DAY_MICROS
-    micros = F.unix_micros(F.col("hire_date").cast("timestamp"))
+    micros = epoch_micros(F.col("hire_date"))
     rank = company_rank(rules)
     return (
         employees.where(F.col("hire_date").isNotNull())

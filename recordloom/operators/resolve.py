@@ -19,6 +19,7 @@ from recordloom.config import (
     CustomerRules,
     EmployeeRules,
 )
+from recordloom.functions.dates import epoch_micros
 from recordloom.functions.identity import duplicate_rank, provenance, source_priority
 from recordloom.functions.text import email_key, full_name, opt_out_flag, strip
 
@@ -32,8 +33,7 @@ def nulls_last(c: Column) -> list[Column]:
 
 def latest_first(c: Column) -> list[Column]:
     """Descending order keys of a zone-free timestamp for a struct, null last."""
-    micros = F.unix_micros(c.cast("timestamp"))
-    return [c.isNull(), -micros]
+    return [c.isNull(), -epoch_micros(c)]
 
 
 _ORDER = "_order"

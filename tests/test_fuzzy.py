@@ -99,6 +99,18 @@ def test_window_counts_whole_days(spark, rules):
     assert {r[:2] + (r[3],) for r in found(spark, rows, rules)} == {("a", "b", 30)}
 
 
+def test_whole_days_do_not_depend_on_session_zone(spark, rules):
+    at = dt.datetime(2020, 2, 20, 12)
+    rows = [("a", "J", "Smith", at, "GlobalTech"), ("b", "J", "Smith", at + dt.timedelta(days=31), "AcquiredCo")]
+    near = [*rows, ("c", "J", "Smith", at + dt.timedelta(days=30), "AcquiredCo")]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert found(spark, rows, rules) == set()
+        assert {r[:2] + (r[3],) for r in found(spark, near, rules)} == {("a", "c", 30)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_plan_has_no_nested_loop(spark, rules):
     df = fuzzy.probable_matches(spark.createDataFrame(people(1, 20), DDL), rules)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,6 @@
 import dataclasses
 
 import pytest
-from pyspark.sql import functions as F
 
 from fixtures_files import write_customer_sources, write_employee_sources
 from recordloom.operators import profile

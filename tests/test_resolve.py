@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from recordloom.config import EMPLOYEE_SCHEMA
 from recordloom.operators import clean, resolve

@@ -15,7 +15,7 @@ from recordloom.sources.align import align_customers, align_employees, flatten_j
 from workload import oracle as o
 from workload.employees import report_sql
 from workload.inputs import CUSTOMER_RULES as RULES
-from workload.inputs import EMPLOYEE_RULES, source, table
+from workload.inputs import source, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.config import BENEFIT_FIELDS, EMPLOYEE_SCHEMA, PAYROLL_FIELDS, POSITION
+from recordloom.config import EMPLOYEE_SCHEMA, PAYROLL_FIELDS, POSITION
 from recordloom.functions import dates, identity, money, text
 from recordloom.operators import clean, fuzzy, profile, quality, quarantine, resolve
 from recordloom.plans.employees import COLUMN_DESCRIPTIONS, resolve_employees
