@@ -16,7 +16,9 @@ from recordloom.sources.spread import spread
 
 AS_OF = dt.date(2015, 6, 30)
 EMPLOYEE_RULES = EmployeeRules(as_of=AS_OF)
-CUSTOMER_RULES = CustomerRules(as_of=dt.date(2024, 3, 31))
+CUSTOMER_RULES = CustomerRules(
+    as_of=dt.date(2024, 3, 31), test_account_pattern=r"(?i)@test\.example\.org$"
+)
 
 _MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
@@ -128,7 +130,7 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
         "events",
         {
             "email": """CASE WHEN event_id % 47 = 0 THEN 'not-an-email' WHEN event_id % 53 = 0 THEN NULL
-                WHEN event_id % 59 = 0 THEN 't' || CAST(event_id AS STRING) || '@TEST.shopstream.com'
+                WHEN event_id % 59 = 0 THEN 't' || CAST(event_id AS STRING) || '@TEST.example.org'
                 ELSE ' User' || CAST(user_id AS STRING) || CASE WHEN event_id % 2 = 0 THEN '@Example.COM ' ELSE '@ example.com' END END""",
             "first_name": "CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 'nan' ELSE '  ' || event_type || '  mARY-jane' END",
             "last_name": "CASE WHEN event_id % 5 < 2 THEN NULL ELSE 'o' || chr(39) || event_type END",

@@ -218,7 +218,7 @@ def _customer_ctes() -> dict[str, str]:
     flag = r"coalesce(CASE WHEN regexp_matches(opt_out, '^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$') THEN try_cast(opt_out AS DOUBLE) END <> 0, false)"
     ctes = {
         "raw_customers": source_sql("customers"),
-        "real_customers": r"SELECT * FROM raw_customers WHERE NOT coalesce(regexp_matches(email, '(?i)@test\.shopstream\.com$'), false)",
+        "real_customers": r"SELECT * FROM raw_customers WHERE NOT coalesce(regexp_matches(email, '(?i)@test\.example\.org$'), false)",
         "cln_customers": f"""SELECT {email} AS email, {name('first_name')} AS first_name, {name('last_name')} AS last_name,
             CASE WHEN length({digits}) >= 7 THEN CASE WHEN trim(phone) LIKE '+%' THEN '+' ELSE '' END || {digits} END AS phone,
             {region} AS region, try_strptime(registration_date, '%Y-%m-%d') AS registration_date, opt_out, source, _position,
