@@ -11,14 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import exact, mixing, packing
+from recordloom.llm import exact, minhash, mixing, packing, quality
 from recordloom.llm.common import staged, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model, rest=True).where(F.col("score") >= quality.KEEP).select("row.*")
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.deduplicated(docs, keep="largest")
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.deduplicated(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs)
 
@@ -31,7 +40,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("quality", quality_stage),
     ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]

@@ -195,5 +195,13 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return got.select("id", home.alias("component_id"), (F.col("id").isNull() | (F.col("id") == home)).alias("kept"))
 
 
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows that stay, as they came: one of each class, and all rows with a null id."""
+    gone = staged(near_classes(df, id_col, text_col, **how).where("not kept").select("id").distinct())
+    own = F.col(f"`{id_col}`")
+    rest = df.where(own.isNotNull()).join(gone.withColumnRenamed("id", "__gone"), own.cast("long") == F.col("__gone"), "left_anti").dropDuplicates([id_col])
+    return rest.unionByName(df.where(own.isNull()))
+
+
 def op4(spark, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
