@@ -9,9 +9,10 @@ verified by the exact Jaccard similarity of the shingle sets of the whole texts.
 
 Texts with equal shingle sets are one class and go on as one representative. In every band
 bucket all members are first verified against the smallest. Where that leaves a bucket in
-several components, all pairs across these whose registers agree enough are verified too, in
-tiles, so no link between different texts is lost to a hub; pairs inside a component can't change
-the classes and are left out. A large group of near copies costs one comparison a copy.
+several components, the best pairs across these, a spanning forest of them, are verified in two
+more rounds, and then all pairs that still lie across and whose registers agree enough. So no
+link between different texts is lost to a hub; pairs inside a component can't change the classes
+and are left out. A large group of near copies costs a few comparisons a copy.
 
 Cases: texts without words (null, empty, blank) are a class of their own each. Shorter texts are
 one shingle. Rows with equal ids share a class; null ids are never linked and are kept. Extra
@@ -35,8 +36,8 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 26, 5
 #: Agreement of registers below which a pair across components isn't verified. At a similarity
-#: of 0.8 a pair agrees in 104 of 130 on average; 78 is over five standard deviations below.
-AGREE = 0.6
+#: of 0.8 a pair agrees in 104 of 130 on average; 86 is four standard deviations below.
+AGREE = 0.66
 TILE = 1024
 MEMBERS = 512  # texts verified in one group
 
@@ -74,7 +75,7 @@ def _sign(words: int, bands: int, rows: int):
         cache: dict = {}
         for batch in batches:
             ids = batch.column("id").to_pylist()
-            for first, texts in textops.chunks(batch.column("text").to_pylist()):
+            for first, texts in textops.chunks(batch.column("text")):
                 sets = []
                 for s in textops.Words(texts, cache).shingles(words):
                     s, n = np.unique(s, return_counts=True)
@@ -114,7 +115,7 @@ def _verify(words: int, similar: float):
         for batch in batches:
             keys, roles, ids = (batch.column(c).to_pylist() for c in ("group", "role", "id"))
             a, b = [], []
-            for first, texts in textops.chunks(batch.column("text").to_pylist()):
+            for first, texts in textops.chunks(batch.column("text")):
                 for i, s in enumerate(textops.Words(texts, cache).shingles(words), first):
                     s = np.unique(s)
                     if roles[i] == 0:
@@ -137,33 +138,63 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, similar: float) ->
     cut = pairs.join(per, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / F.lit(MEMBERS))))
     cut = staged(cut.select("a", "b", F.xxhash64("a", "part").alias("group")))
     sides = cut.select(F.col("b").alias("id"), "group", F.lit(1).alias("role")).unionAll(cut.select(F.col("a").alias("id"), "group", F.lit(0).alias("role")).distinct())
-    rows = texts.join(staged(sides), "id").repartition(width(spark), "group").sortWithinPartitions("group", "role")
+    rows = texts.join(staged(sides).hint("merge"), "id").repartition(width(spark), "group").sortWithinPartitions("group", "role")
     return rows.select("group", "role", "id", "text").mapInArrow(_verify(words, similar), "a long, b long")
 
 
-def _across(agree: float):
-    """Pairs of one bucket in different components whose registers agree enough."""
+def _across(agree: float, forest: bool):
+    """Pairs of one bucket in different components whose registers agree enough.
+
+    With ``forest`` only those of a spanning forest that prefers the best agreement: a line a text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, "cell"):
-            if rows.num_rows < 2:
+            n = rows.num_rows
+            ids, home, chunk = (rows.column(c).to_numpy() for c in ("id", "component", "chunk"))
+            if n < 2 or (home == home[0]).all():
                 continue
-            ids, home, line, chunk = (rows.column(c).to_numpy() for c in ("id", "component", "line", "chunk"))
-            column = rows.column("column").to_numpy()
-            codes = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(len(ids), -1)
-            left = np.flatnonzero(chunk == line)
-            right = np.flatnonzero(chunk == column)
-            for lo in range(0, len(left), 64):
-                part = left[lo : lo + 64]
-                same = (codes[part][:, None, :] == codes[right][None, :, :]).mean(2)
-                x, y = np.nonzero((same >= agree) & (home[part][:, None] != home[right][None, :]))
-                x, y = ids[part[x]], ids[right[y]]
-                if len(x):
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+            codes = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(n, -1)
+            same = np.zeros((n, n), np.float32)
+            for lo in range(0, n, 32):
+                same[lo : lo + 32] = (codes[lo : lo + 32][:, None, :] == codes[None, :, :]).mean(2)
+            apart = home[:, None] != home[None, :]
+            same[apart & (same < agree)] = 0
+            if forest:
+                same[~apart] = 2  # what is connected costs nothing
+                best, by, out = same[0].copy(), np.zeros(n, np.int64), []
+                best[0] = -1
+                for _ in range(n - 1):
+                    at = int(best.argmax())
+                    if 0 < best[at] <= 1:
+                        out.append((by[at], at))
+                    nearer = (same[at] > best) & (best >= 0)
+                    best[nearer], by[nearer] = same[at][nearer], at
+                    best[at] = -1
+                x, y = np.array(out, np.int64).reshape(-1, 2).T
+            else:
+                if chunk.min() != chunk.max():  # two chunks; pairs inside one meet elsewhere
+                    apart &= chunk[:, None] != chunk[None, :]
+                x, y = np.nonzero(np.triu(apart & (same > 0), 1))
+            x, y = ids[x], ids[y]
+            if len(x):
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
     return run
 
 
+def _open(crowded: DataFrame, marks: DataFrame, state: DataFrame) -> DataFrame:
+    """Members of the buckets that lie in several components, dealt out in tiles."""
+    placed = crowded.join(state.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
+    open_ = placed.join(split.select("key", "n"), "key").join(marks, "id")
+    tiles = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
+    grid = open_.withColumn("chunk", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    cell = F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other"))
+    grid = grid.select("id", "component", "registers", "chunk", cell.alias("cell"))
+    return grid.repartition(width(crowded.sparkSession), "cell").sortWithinPartitions("cell")
+
+
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row: id, component_id (smallest id of its class), kept."""
     spark = df.sparkSession
@@ -175,21 +206,18 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = staged(reps.select("id", F.explode("bands").alias("key")).distinct())
     hubs = buckets.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("top")).where("a <> top").select("key", "a")
     crowded = staged(buckets.join(hubs, "key"))
-    pairs = staged(crowded.where("id <> a").select("a", F.col("id").alias("b")).distinct())
-    links = staged(verified(pairs, slim, words, similar))
-    first = staged(components(links))
-    # buckets in several components; copies of a pair in other buckets meet again in distinct()
-    placed = crowded.select("key", "id").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
-    open_ = placed.join(split.select("key", "n"), "key").join(reps.select("id", "registers").dropDuplicates(["id"]), "id")
-    tiles = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
-    chunk = F.pmod(F.xxhash64("id"), tiles).cast("int")
-    grid = open_.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    grid = grid.select("id", "component", "registers", "chunk", F.least("chunk", "other").alias("line"), F.greatest("chunk", "other").alias("column"), F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("cell"))
-    spread = grid.repartition(width(spark), "cell").sortWithinPartitions("cell")
-    across = spread.mapInArrow(_across(AGREE), "a long, b long").where("a <> b").distinct()
-    more = staged(verified(staged(across.join(pairs, ["a", "b"], "left_anti")), slim, words, similar))
-    final = components(links.unionAll(more).select("a", "b").unionAll(members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))))
+    tried = staged(crowded.where("id <> a").select("a", F.col("id").alias("b")).distinct())
+    involved = crowded.select("id").distinct()
+    texts = staged(slim.join(involved.hint("merge"), "id", "left_semi"))  # one plan at every size
+    marks = staged(reps.select("id", "registers").dropDuplicates(["id"]).join(involved, "id"))
+    state = staged(components(verified(tried, texts, words, similar)))
+    for forest in (True, True, False):  # spanning links join most of what belongs together; then all pairs left
+        across = _open(crowded.select("key", "id"), marks, state).mapInArrow(_across(AGREE, forest), "a long, b long").where("a <> b").distinct()
+        across = staged(across.join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionAll(across)
+        links = verified(across, texts, words, similar).unionAll(state.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        state = staged(components(links))
+    final = components(state.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))))
     got = slim.select("id").join(final.withColumnRenamed("node", "id"), "id", "left")
     home = F.coalesce("component", "id")
     return got.select("id", home.alias("component_id"), (F.col("id").isNull() | (F.col("id") == home)).alias("kept"))

@@ -74,7 +74,7 @@ def term_shares(texts: list[bytes], cache: dict) -> np.ndarray:
 def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache: dict = {}
     for batch in batches:
-        for first, texts in textops.chunks(batch.column("text").to_pylist()):
+        for first, texts in textops.chunks(batch.column("text")):
             rows = term_shares(texts, cache)
             yield pa.RecordBatch.from_arrays([batch.column("quality").slice(first, len(texts)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["quality", "shares"])
 
@@ -138,7 +138,7 @@ def scored(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, cache = Model(*shipped.value), {}
         for batch in batches:
-            got = [own.score(term_shares(texts, cache)) for _, texts in textops.chunks(batch.column("text").to_pylist())]
+            got = [own.score(term_shares(texts, cache)) for _, texts in textops.chunks(batch.column("text"))]
             kept = [batch.column(c) for c in batch.schema.names if c != "text"]
             if got:
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(got))], names=[*(c for c in batch.schema.names if c != "text"), "score"])

@@ -32,16 +32,18 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def chunks(texts: list[str | None], most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """Encoded texts in groups of about ``most`` bytes, with the place of each group's first."""
+def chunks(texts, most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Encoded texts of an Arrow column in groups of about ``most`` bytes, with the place of each
+    group's first. Only a few rows at a time become Python objects."""
     first, held, size = 0, [], 0
-    for i, text in enumerate(texts):
-        data = (text or "").encode("utf-8", "surrogatepass")
-        if held and size + len(data) > most:
-            yield first, held
-            first, held, size = i, [], 0
-        held.append(data)
-        size += len(data) + 1
+    for lo in range(0, len(texts), 64):
+        for i, text in enumerate(texts.slice(lo, 64).to_pylist(), lo):
+            data = (text or "").encode("utf-8", "surrogatepass")
+            if held and size + len(data) > most:
+                yield first, held
+                first, held, size = i, [], 0
+            held.append(data)
+            size += len(data) + 1
     if held:
         yield first, held
 
