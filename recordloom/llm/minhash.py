@@ -176,6 +176,10 @@ def _across(agree: float, forest: bool):
                 if chunk.min() != chunk.max():  # two chunks; pairs inside one meet elsewhere
                     apart &= chunk[:, None] != chunk[None, :]
                 x, y = np.nonzero(np.triu(apart & (same > 0), 1))
+                bands, key = np.array(rows.column("bands").to_pylist(), np.int64), rows.column("key")[0].as_py()
+                shared = bands[x] == bands[y]  # a pair is given by the first bucket that it shares
+                first = bands[x, shared.argmax(1)] == key if len(x) else np.empty(0, bool)
+                x, y = x[first], y[first]
             x, y = ids[x], ids[y]
             if len(x):
                 yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
@@ -191,7 +195,7 @@ def _open(crowded: DataFrame, marks: DataFrame, state: DataFrame) -> DataFrame:
     tiles = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
     grid = open_.withColumn("chunk", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     cell = F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other"))
-    grid = grid.select("id", "component", "registers", "chunk", cell.alias("cell"))
+    grid = grid.select("id", "component", "key", "bands", "registers", "chunk", cell.alias("cell"))
     return grid.repartition(width(crowded.sparkSession), "cell").sortWithinPartitions("cell")
 
 
@@ -209,7 +213,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tried = staged(crowded.where("id <> a").select("a", F.col("id").alias("b")).distinct())
     involved = crowded.select("id").distinct()
     texts = staged(slim.join(involved.hint("merge"), "id", "left_semi"))  # one plan at every size
-    marks = staged(reps.select("id", "registers").dropDuplicates(["id"]).join(involved, "id"))
+    marks = staged(reps.select("id", "bands", "registers").dropDuplicates(["id"]).join(involved, "id"))
     state = staged(components(verified(tried, texts, words, similar)))
     for forest in (True, True, False):  # spanning links join most of what belongs together; then all pairs left
         across = _open(crowded.select("key", "id"), marks, state).mapInArrow(_across(AGREE, forest), "a long, b long").where("a <> b").distinct()
