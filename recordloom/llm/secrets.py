@@ -31,6 +31,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z]
 ORDINARY = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z]{16,}+(?![A-Za-z0-9+/_=-])"
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
 RATIO = 0.7  # nats a step
+BACKOFF = 10.0  # weight of how often a character occurs at all, in counts of the pair's row
 _SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
@@ -77,7 +78,7 @@ def _steps(samples: DataFrame, label: str) -> DataFrame:
 
 
 def ratios(found: DataFrame) -> list[float]:
-    """Log-likelihood ratio of random to ordinary per pair of characters, counts plus one.
+    """Log-likelihood ratio of random to ordinary per pair of characters.
 
     At most two counts for each pair of the alphabet reach the driver.
     """
@@ -85,11 +86,14 @@ def ratios(found: DataFrame) -> list[float]:
     plain = found.select(F.explode("ordinary").alias("value"))
     counts = {(r.label, r.pair): r.n for r in _steps(secret, "random").unionByName(_steps(plain, "ordinary")).collect()}
     out = [0.0] * (128 * 128)
+    labels = "random", "ordinary"
+    alone = {label: {b: sum(counts.get((label, a + b), 0) for a in ALPHABET) + 1 for b in ALPHABET} for label in labels}
+    total = {label: sum(alone[label].values()) for label in labels}
     for a in ALPHABET:
-        totals = {label: sum(counts.get((label, a + b), 0) for b in ALPHABET) + len(ALPHABET) for label in ("random", "ordinary")}
+        row = {label: sum(counts.get((label, a + b), 0) for b in ALPHABET) for label in labels}
         for b in ALPHABET:
-            logs = [math.log((counts.get((label, a + b), 0) + 1) / totals[label]) for label in ("random", "ordinary")]
-            out[ord(a) * 128 + ord(b)] = round(logs[0] - logs[1], 6)
+            p = [(counts.get((label, a + b), 0) + BACKOFF * alone[label][b] / total[label]) / (row[label] + BACKOFF) for label in labels]
+            out[ord(a) * 128 + ord(b)] = round(math.log(p[0] / p[1]), 6)
     if not any(k[0] == "random" for k in counts) or not any(k[0] == "ordinary" for k in counts):
         return [0.0] * len(out)
     return out
