@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from recordloom.llm import textops
 from recordloom.llm.common import staged, table
 
-TERMS = 1024
+TERMS = 512
 RANK = 64
-LABELLED = 6000
+LABELLED = 4000
 NEAREST = 25
 SHARPNESS = 8
 KEEP = 0.3
@@ -86,8 +86,11 @@ class Model:
     @classmethod
     def fit(cls, shares: np.ndarray, labels: np.ndarray) -> Model:
         rarity = np.log((1 + len(shares)) / (1 + (shares > 0).sum(0))).astype(np.float32) + 1
-        x = shares * rarity
-        _, axes = np.linalg.eigh(x.T.astype(np.float64) @ x)
+        gram = np.zeros((shares.shape[1],) * 2)
+        for lo in range(0, len(shares), 512):
+            part = (shares[lo : lo + 512] * rarity).astype(np.float64)
+            gram += part.T @ part
+        _, axes = np.linalg.eigh(gram)
         axes = axes[:, ::-1][:, :RANK].astype(np.float32)
         model = cls(rarity, axes, None, labels.astype(np.float32))
         model.vectors = model.project(shares)
@@ -125,10 +128,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     present = texts.select("id").join(chosen, "id", "left_semi").distinct().orderBy(F.xxhash64("id"), "id").limit(most)
     sample = staged(present.join(chosen, "id"))
-    rows = texts.join(F.broadcast(sample), "id").select("quality", "text").mapInArrow(_shares, "quality double, shares binary").orderBy("shares", "quality").collect()
-    if not rows:
+    rows = texts.join(F.broadcast(sample), "id").select("quality", "text").mapInArrow(_shares, "quality double, shares binary").toArrow()
+    if not rows.num_rows:
         return Model(None, None, None, np.empty(0, np.float32))
-    return Model.fit(np.stack([np.frombuffer(r.shares, np.float32) for r in rows]), np.array([r.quality for r in rows]))
+    shares = np.frombuffer(b"".join(rows.column("shares").to_pylist()), np.float32).reshape(rows.num_rows, -1)
+    order = np.lexsort((rows.column("quality").to_numpy(), *shares.T[:8], shares @ np.arange(shares.shape[1], dtype=np.float32)))  # the same model from any order of rows
+    return Model.fit(shares[order], rows.column("quality").to_numpy()[order])
 
 
 def scored(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", rest: bool = False) -> DataFrame:
