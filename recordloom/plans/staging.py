@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 def stage_folder(spark: SparkSession, fallback: str | None = None) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
-    Where that is unset the folder goes under ``fallback``, or else under the warehouse.
+    Where that is unset the folder goes under ``fallback``; a local session may also use its
+    warehouse. A cluster without either is refused, as its executors share no other folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir") + "/_stage"
     return f"{base.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
 
