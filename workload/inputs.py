@@ -61,7 +61,7 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
         {
             "employee_id": """CASE WHEN c_custkey % 97 = 0 THEN ' ' WHEN c_custkey % 89 = 0
                 THEN 'GT' || CAST(c_custkey + 5000000 AS STRING)
-                ELSE ' GT' || lpad(CAST(c_custkey - (CASE WHEN c_custkey % 10 = 1 THEN 1 ELSE 0 END) AS STRING), greatest(6, length(CAST(c_custkey - (CASE WHEN c_custkey % 10 = 1 THEN 1 ELSE 0 END) AS STRING))), '0') END""",
+                ELSE ' GT' || lpad(CAST(c_custkey - (CASE WHEN c_custkey % 10 = 1 THEN 1 ELSE 0 END) AS STRING), CAST(greatest(6, length(CAST(c_custkey - (CASE WHEN c_custkey % 10 = 1 THEN 1 ELSE 0 END) AS STRING))) AS INTEGER), '0') END""",
             "first_name": _NAME.format(k="c_custkey", s="c_mktsegment"),
             "last_name": f"CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE {_NAME.format(k='(c_custkey + 2)', s='c_mktsegment')} END",
             "email": """CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 29 = 0 THEN 'broken@'
@@ -79,8 +79,8 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "acquiredco_hris": (
         "supplier",
         {
-            "employee_identifier": """CASE WHEN s_suppkey % 10 = 3 THEN 'ACQ_DUP_' || lpad(CAST(s_suppkey - 1 AS STRING), greatest(5, length(CAST(s_suppkey - 1 AS STRING))), '0')
-                ELSE 'ACQ_' || lpad(CAST(s_suppkey AS STRING), greatest(5, length(CAST(s_suppkey AS STRING))), '0') END""",
+            "employee_identifier": """CASE WHEN s_suppkey % 10 = 3 THEN 'ACQ_DUP_' || lpad(CAST(s_suppkey - 1 AS STRING), CAST(greatest(5, length(CAST(s_suppkey - 1 AS STRING))) AS INTEGER), '0')
+                ELSE 'ACQ_' || lpad(CAST(s_suppkey AS STRING), CAST(greatest(5, length(CAST(s_suppkey AS STRING))) AS INTEGER), '0') END""",
             "name_first": _NAME.format(k="s_suppkey", s="s_name"),
             "name_last": "CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE 'van der ' || s_name END",
             "contact_email": "CASE WHEN s_suppkey % 10 = 3 THEN NULL ELSE 'USER' || CAST(s_suppkey * 3 AS STRING) || '@example.com ' END",
@@ -90,7 +90,7 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
             "assignment_location": "'Country ' || CAST(s_nationkey AS STRING)",
             "employment_type": _EMPLOYMENT.format(k="s_suppkey"),
             "employment_status": "CASE s_suppkey % 3 WHEN 0 THEN 'active' WHEN 1 THEN NULL ELSE 'leave' END",
-            "manager_employee_id": "'ACQ_' || lpad(CAST(s_suppkey % 5 AS STRING), greatest(5, length(CAST(s_suppkey % 5 AS STRING))), '0')",
+            "manager_employee_id": "'ACQ_' || lpad(CAST(s_suppkey % 5 AS STRING), CAST(greatest(5, length(CAST(s_suppkey % 5 AS STRING))) AS INTEGER), '0')",
             "_position": "s_suppkey",
         },
     ),
@@ -98,12 +98,12 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
         "orders",
         {
             "employee_id": """CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 0 THEN '  '
-                WHEN o_orderkey % 4 = 3 THEN 'ACQ_' || lpad(CAST(o_custkey % 150 AS STRING), greatest(5, length(CAST(o_custkey % 150 AS STRING))), '0')
+                WHEN o_orderkey % 4 = 3 THEN 'ACQ_' || lpad(CAST(o_custkey % 150 AS STRING), CAST(greatest(5, length(CAST(o_custkey % 150 AS STRING))) AS INTEGER), '0')
                 ELSE 'GT' || CAST(o_custkey AS STRING) END""",
             "source": """CASE WHEN o_orderkey % 107 = 0 THEN ' GlobalTech' WHEN o_orderkey % 109 = 0 THEN NULL
                 WHEN o_orderkey % 4 = 3 THEN 'AcquiredCo' ELSE 'GlobalTech' END""",
             "base_salary": """CASE o_orderkey % 7 WHEN 0 THEN NULL
-                WHEN 1 THEN '$' || CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING) || ',' || lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS STRING), greatest(3, length(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS STRING))), '0')
+                WHEN 1 THEN '$' || CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING) || ',' || lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS STRING), CAST(greatest(3, length(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS STRING))) AS INTEGER), '0')
                 WHEN 2 THEN '(' || CAST(o_totalprice AS STRING) || ')'
                 WHEN 3 THEN '€ ' || CAST(o_totalprice AS STRING)
                 WHEN 4 THEN 'unknown'
@@ -134,7 +134,7 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
                 ELSE ' User' || CAST(user_id AS STRING) || CASE WHEN event_id % 2 = 0 THEN '@Example.COM ' ELSE '@ example.com' END END""",
             "first_name": "CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 'nan' ELSE '  ' || event_type || '  mARY-jane' END",
             "last_name": "CASE WHEN event_id % 5 < 2 THEN NULL ELSE 'o' || chr(39) || event_type END",
-            "phone": "CASE event_id % 4 WHEN 0 THEN '+1 (555) ' || lpad(CAST(event_id AS STRING), greatest(7, length(CAST(event_id AS STRING))), '0') WHEN 1 THEN '555.' || CAST(user_id AS STRING) WHEN 2 THEN NULL ELSE '020 ' || lpad(CAST(event_id AS STRING), greatest(8, length(CAST(event_id AS STRING))), '1') END",
+            "phone": "CASE event_id % 4 WHEN 0 THEN '+1 (555) ' || lpad(CAST(event_id AS STRING), CAST(greatest(7, length(CAST(event_id AS STRING))) AS INTEGER), '0') WHEN 1 THEN '555.' || CAST(user_id AS STRING) WHEN 2 THEN NULL ELSE '020 ' || lpad(CAST(event_id AS STRING), CAST(greatest(8, length(CAST(event_id AS STRING))) AS INTEGER), '1') END",
             "region": "CASE event_id % 9 WHEN 0 THEN 'usa' WHEN 1 THEN ' EMEA' WHEN 2 THEN 'Asia Pacific' WHEN 3 THEN 'NA' WHEN 4 THEN 'Mars' WHEN 5 THEN 'eu' ELSE NULL END",
             "registration_date": "CASE WHEN event_id % 31 = 0 THEN 'unknown' WHEN event_id % 6 = 0 THEN NULL ELSE CAST(2009 + user_id % 16 AS STRING) || substr(CAST(ts AS STRING), 5, 6) END",
             "opt_out": "CASE event_id % 11 WHEN 0 THEN '1' WHEN 1 THEN 'true' WHEN 2 THEN NULL ELSE '0' END",
@@ -145,12 +145,12 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "people": (
         "part",
         {
-            "employee_id": "CASE WHEN p_partkey % 2 = 0 THEN 'GT-' ELSE 'AC-' END || lpad(CAST(p_partkey AS STRING), greatest(9, length(CAST(p_partkey AS STRING))), '0')",
+            "employee_id": "CASE WHEN p_partkey % 2 = 0 THEN 'GT-' ELSE 'AC-' END || lpad(CAST(p_partkey AS STRING), CAST(greatest(9, length(CAST(p_partkey AS STRING))) AS INTEGER), '0')",
             "first_name": """CASE p_partkey % 5 WHEN 0 THEN replace(p_name, 'e', '') WHEN 1 THEN p_name || 's' WHEN 2 THEN ' ' || replace(p_name, ' ', '  ')
                 ELSE p_name END""",
             "last_name": "CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 7 = 1 THEN substr(p_type, 1, 3) ELSE substr(p_type, 1, 4) END",
-            "hire_date": """CAST(CAST(2005 + p_partkey * 13 % 15 AS STRING) || '-' || lpad(CAST(1 + p_partkey * 5 % 12 AS STRING), greatest(2, length(CAST(1 + p_partkey * 5 % 12 AS STRING))), '0') || '-' ||
-                lpad(CAST(1 + p_partkey * 11 % 28 AS STRING), greatest(2, length(CAST(1 + p_partkey * 11 % 28 AS STRING))), '0') || ' ' || lpad(CAST(p_partkey % 24 AS STRING), greatest(2, length(CAST(p_partkey % 24 AS STRING))), '0') || ':00:00' AS {NTZ})""",
+            "hire_date": """CAST(CAST(2005 + p_partkey * 13 % 15 AS STRING) || '-' || lpad(CAST(1 + p_partkey * 5 % 12 AS STRING), CAST(greatest(2, length(CAST(1 + p_partkey * 5 % 12 AS STRING))) AS INTEGER), '0') || '-' ||
+                lpad(CAST(1 + p_partkey * 11 % 28 AS STRING), CAST(greatest(2, length(CAST(1 + p_partkey * 11 % 28 AS STRING))) AS INTEGER), '0') || ' ' || lpad(CAST(p_partkey % 24 AS STRING), CAST(greatest(2, length(CAST(p_partkey % 24 AS STRING))) AS INTEGER), '0') || ':00:00' AS {NTZ})""",
             "company_origin": "CASE WHEN CAST(floor(p_partkey / 7) AS BIGINT) % 2 = 0 THEN 'GlobalTech' WHEN p_partkey % 15 = 1 THEN NULL ELSE 'AcquiredCo' END",
         },
     ),
