@@ -68,3 +68,27 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             last = keys[lo]
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
+    """Tables of at least ``least`` rows, but for the last, that cut no run of equal keys."""
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if held and keys[0] != last:
+            starts = np.concatenate([[0], starts])
+        done = 0
+        for cut in starts.tolist():
+            if size + cut - done >= least:
+                yield pa.Table.from_batches([*held, batch.slice(done, cut - done)])
+                held, size, done = [], 0, cut
+        held.append(batch.slice(done))
+        size, last = size + batch.num_rows - done, keys[-1]
+    if held:
+        yield pa.Table.from_batches(held)

@@ -26,17 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm import textops
-from recordloom.llm.common import runs, staged, table, width
+from recordloom.llm.common import staged, table, whole_runs, width
 from recordloom.llm.components import components
 
 SIMILAR = 0.98
 TABLES, CUTS = 16, 10
 COUNTED = 32
 TILE = 1024
+ROWS = 4096  # of whole cells compared at a time
 _SEED = 20240131
 
 
@@ -67,9 +69,18 @@ def _directions(length: int, n: int, salt: int) -> np.ndarray:
     return got / np.linalg.norm(got, axis=1, keepdims=True)
 
 
-def _units(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
-    rows = [np.asarray(x, np.float64) for x in column.to_pylist()]
-    return [x / np.linalg.norm(x / np.abs(x).max()) / np.abs(x).max() for x in rows]
+def _units(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the vectors of one length, and these as rows of length one."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = pc.list_value_length(column).to_numpy()
+    flat = column.flatten().to_numpy()
+    starts = np.cumsum(sizes) - sizes
+    for length in np.unique(sizes):
+        at = np.flatnonzero(sizes == length)
+        x = flat[starts[at][:, None] + np.arange(length)]
+        x = x / np.abs(x).max(1, keepdims=True)
+        yield at, x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _cells(similar: float, tables: int, cuts: int):
@@ -79,15 +90,13 @@ def _cells(similar: float, tables: int, cuts: int):
         made: dict = {}
         for batch in batches:
             out = np.zeros((batch.num_rows, tables), np.uint64)
-            rows = _units(batch.column("vector"))
-            sizes = np.array([len(x) for x in rows])
-            for length in np.unique(sizes):
+            for at, x in _units(batch.column("vector")):
+                length = x.shape[1]
                 if length not in made:
                     wide = cell_width(similar) / math.sqrt(length)
                     made[length] = _directions(length, tables * cuts, 1), wide, np.random.default_rng((_SEED, 2, length)).random(tables * cuts) * wide
                 lines, wide, shift = made[length]
-                at = np.flatnonzero(sizes == length)
-                codes = np.floor((np.stack([rows[i] for i in at]) @ lines.T + shift) / wide).astype(np.int64).view(np.uint64)
+                codes = np.floor((x @ lines.T + shift) / wide).astype(np.int64).view(np.uint64)
                 key = np.full((len(at), tables), length, np.uint64)
                 for c in range(cuts):
                     key = textops.mix(key * np.uint64(textops._BASE) + codes[:, c::cuts])
@@ -98,71 +107,66 @@ def _cells(similar: float, tables: int, cuts: int):
     return run
 
 
+def _joined(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Puts the sets of i and j together; every entry then names the smallest of its set."""
+    while True:
+        a, b = parent[i], parent[j]
+        if (a == b).all():
+            return
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while (parent[parent] != parent).any():
+            parent[:] = parent[parent]
+
+
 def _links(similar: float, counted: int):
-    spread = math.sqrt(2.0 - 2.0 * similar)
+    """Links inside the cells, many cells at a time: every row meets the next one of its cell in
+    the order of a projection, then the one after, until all are out of the window."""
+    spread = math.sqrt(2.0 - 2.0 * similar) * (1 + 1e-9)
     least = needed(counted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict = {}
-        for rows in runs(batches, "cell"):
-            if rows.num_rows < 2:
-                continue
-            vectors = _units(rows.column("vector"))
-            length = len(vectors[0])
-            if any(len(v) != length for v in vectors):  # two cells of one hash
-                continue
-            if length not in made:
-                made[length] = _directions(length, counted + 1, 3)
-            x = np.stack(vectors)
-            places = x @ made[length].T
-            order = np.argsort(places[:, 0], kind="stable")
-            x, places = x[order], places[order]
-            reps, copies, label, which, chunk, line, column = (rows.column(c).to_numpy()[order] for c in ("rep", "copies", "label", "which", "chunk", "line", "column"))
-            cells = np.array(rows.column("cells").to_pylist(), np.int64)[order]
-            found, parent = np.zeros(len(x), np.int64), np.arange(len(x))
-            window = spread / math.sqrt(length) * 2.0
-
-            def root(i: int) -> int:
-                while parent[i] != i:
-                    parent[i] = parent[parent[i]]
-                    i = parent[i]
-                return i
-
-            links: list[tuple[int, int]] = []
-            for lo in range(0, len(x), 128):
-                hi = min(lo + 128, len(x))
-                top = np.searchsorted(places[:, 0], places[hi - 1, 0] + spread, side="right")
-                later = np.arange(lo, top)
-                count = np.zeros((hi - lo, len(later)), np.int16)
-                for c in range(1, counted + 1):
-                    count += np.abs(places[lo:hi, c][:, None] - places[later, c][None, :]) <= window
-                i, j = np.nonzero(count >= least)
-                i, j = lo + i, lo + j
-                fits = (i < j) & (label[i] == label[j])
-                if line[0] != column[0]:
-                    fits &= chunk[i] != chunk[j]
-                i, j = i[fits], j[fits]
-                if not len(i):
-                    continue
-                near = np.einsum("ij,ij->i", x[i], x[j]) >= similar
-                i, j = i[near], j[near]
-                at = which[i]
-                same = cells[i] == cells[j]  # counted where the pair meets first
-                first = same.argmax(1) == at
-                i, j = i[first & same.any(1)], j[first & same.any(1)]
-                np.add.at(found, i, copies[j])
-                np.add.at(found, j, copies[i])
-                for a, b in zip(i.tolist(), j.tolist()):
-                    ra, rb = root(a), root(b)
-                    if ra != rb:
-                        parent[rb] = ra
-                        links.append((a, b))
-            at = np.flatnonzero(found)
-            if len(at):
-                own = pa.RecordBatch.from_pydict({"a": pa.array(reps[at]), "b": pa.array([None] * len(at), pa.int64()), "n": pa.array(found[at])})
-                yield own
-                a, b = np.array(links).T
-                yield pa.RecordBatch.from_pydict({"a": pa.array(reps[a]), "b": pa.array(reps[b]), "n": pa.array(np.zeros(len(a), np.int64))})
+        for rows in whole_runs(batches, "cell", ROWS):
+            names = ("cell", "rep", "copies", "label", "which", "chunk", "line", "column")
+            held = {c: rows.column(c).to_numpy() for c in names}
+            shared = rows.column("cells").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+            for at, x in _units(rows.column("vector")):
+                length = x.shape[1]
+                if length not in made:
+                    made[length] = _directions(length, counted + 1, 3)
+                places = x @ made[length].T
+                order = np.lexsort((places[:, 0], held["cell"][at]))
+                x, places, at = x[order], places[order], at[order]
+                cell, reps, copies, label, which, chunk, line, column = (held[c][at] for c in names)
+                cells, window = shared[at], spread / math.sqrt(length) * 2.0
+                found, parent = np.zeros(len(x), np.int64), np.arange(len(x))
+                active, step = np.arange(len(x)), 0
+                while True:
+                    step += 1
+                    active = active[active + step < len(x)]
+                    later = active + step
+                    active = active[(cell[active] == cell[later]) & (places[later, 0] - places[active, 0] <= spread)]
+                    if not len(active):
+                        break
+                    i, j = active, active + step
+                    fits = (label[i] == label[j]) & ((line[i] == column[i]) | (chunk[i] != chunk[j]))
+                    i, j = i[fits], j[fits]
+                    close = (np.abs(places[i, 1:] - places[j, 1:]) <= window).sum(1) >= least
+                    i, j = i[close], j[close]
+                    near = np.einsum("ij,ij->i", x[i], x[j]) >= similar
+                    i, j = i[near], j[near]
+                    same = cells[i] == cells[j]  # counted where the pair meets first
+                    first = same.any(1) & (same.argmax(1) == which[i])
+                    i, j = i[first], j[first]
+                    if len(i):
+                        found[i] += copies[j]
+                        found[j] += copies[i]
+                        _joined(parent, i, j)
+                at = np.flatnonzero(found)
+                if len(at):
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(reps[at]), "b": pa.array([None] * len(at), pa.int64()), "n": pa.array(found[at])})
+                    at = np.flatnonzero(parent != np.arange(len(x)))
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(reps[parent[at]]), "b": pa.array(reps[at]), "n": pa.array(np.zeros(len(at), np.int64))})
 
     return run
 
