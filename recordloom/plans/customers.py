@@ -20,7 +20,7 @@ from recordloom.operators.quality import customer_report
 from recordloom.operators.resolve import merge_customers
 from recordloom.plans.staging import stage_folder, staged
 from recordloom.sinks import files
-from recordloom.sources.readers import ingest_customers
+from recordloom.sources.readers import ingest_customers, read_website
 
 
 def resolve_customers(raw: DataFrame, rules: CustomerRules) -> DataFrame:
@@ -43,7 +43,10 @@ def profile_customers(customers: DataFrame) -> dict[str, DataFrame]:
 def integrate_customers(
     spark: SparkSession, paths: Mapping[str, str], output: str, rules: CustomerRules
 ) -> dict[str, str]:
-    """Read, merge, check, profile and write; the merged table is written once and reread."""
+    """Read, merge, check, profile and write; the merged table is written once and reread.
+
+    Over-long website lines are dead-lettered, as in the employee job.
+    """
     stage = stage_folder(spark, f"{output}/_stage")
     merged = resolve_customers(ingest_customers(spark, paths, rules), rules)
     customers = staged(merged, stage, "customers")
@@ -54,4 +57,7 @@ def integrate_customers(
         name: files.write_review_csv(df, f"{output}/profile/{name}", single_file=True)
         for name, df in profile_customers(customers).items()
     }
-    return {"quality_report": report, **files.write_golden_customers(customers, output), **profiles}
+    rejects = read_website(spark, paths["website"], rules).rejects
+    letters = files.write_dead_letters(rejects, f"{output}/dead_letters")
+    reports = {"quality_report": report, "dead_letters": letters}
+    return {**reports, **files.write_golden_customers(customers, output), **profiles}

@@ -125,18 +125,39 @@ def over_long(raw: Column, width: int) -> Column:
 def _read_csv_strings(
     spark: SparkSession, path: str, multi_line: bool, encoding: str, tokens: Iterable[str]
 ) -> DataFrame:
-    """All columns as text under the header's names, null texts as null."""
+    """All columns as text under the header's names, null texts as null.
+
+    Cells are bound by position, so each file's header is compared with the first one's names
+    and the read fails where a file has other columns or another order. Only headers with
+    blank or repeated names, which Spark renames, can't be compared.
+    """
     # without column pruning every line is checked against the whole header
     reader = spark.read.options(**_CSV).option("encoding", encoding).option("columnPruning", False)
     names = reader.csv(path).columns
     ddl = ", ".join(f"`{n}` string" for n in names) + f", {_CORRUPT} string"
     raw = reader.schema(ddl).option("columnNameOfCorruptRecord", _CORRUPT).csv(
-        path, multiLine=multi_line, mode="PERMISSIVE"
+        path, multiLine=multi_line, mode="PERMISSIVE", enforceSchema=_renamed(names)
     )
     cells = [null_tokens(F.col(f"`{n}`"), tokens).alias(n) for n in names]
     return spread(raw.select(*cells, _CORRUPT, _row_position()))
 
 
+def _renamed(names: Sequence[str]) -> bool:
+    """True when Spark made up a name: ``_c<place>`` for a blank, ``name<place>`` for a repeat."""
+    stems = [n.removesuffix(str(i)).lower() for i, n in enumerate(names) if n.endswith(str(i))]
+    return "_c" in stems or len(stems) != len(set(stems))
+
+
+def _split_over_long(raw: DataFrame, source: str) -> Ingested:
+    """Lines with more cells than the header go to the rejects, whole; the rest loses its line."""
+    names = [c for c in raw.columns if c not in (POSITION, _CORRUPT)]
+    too_long = over_long(F.col(_CORRUPT), len(names))
+    malformed = as_rejects(
+        raw.where(too_long).withColumnRenamed(_CORRUPT, "line"), source, "Malformed CSV row"
+    )
+    return Ingested(raw.where(~too_long).drop(_CORRUPT), malformed)
+
+
 def read_hris_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Ingested:
     """Employee CSV: over-long lines are rejected, short ones padded with null.
 
@@ -147,16 +168,11 @@ def read_hris_csv(spark: SparkSession, path: str, multi_line: bool = True) -> In
 
     def read() -> Ingested:
         raw = _read_csv_strings(spark, path, multi_line, "UTF-8", NULL_TOKENS)
-        names = [c for c in raw.columns if c not in (POSITION, _CORRUPT)]
 
         def split(df: DataFrame) -> Ingested:
-            too_long = over_long(F.col(_CORRUPT), len(names))
-            malformed = as_rejects(
-                df.where(too_long).withColumnRenamed(_CORRUPT, "line"), source, "Malformed CSV row"
-            )
-            rows = df.where(~too_long).drop(_CORRUPT)
-            kept, no_id = reject_missing_identity(rows, source, "employee_id")
-            return Ingested(align_employees(kept, source), malformed.unionByName(no_id))
+            lines = _split_over_long(df, source)
+            kept, no_id = reject_missing_identity(lines.frame, source, "employee_id")
+            return Ingested(align_employees(kept, source), lines.rejects.unionByName(no_id))
 
         return require_columns(raw, source, split)
 
@@ -275,19 +291,24 @@ def reconcile_count(docs: DataFrame, array: str = "employees") -> DataFrame:
 def read_payroll(
     spark: SparkSession, path: str, rules: EmployeeRules, fmt: str = "parquet"
 ) -> Ingested:
-    """Payroll table in Parquet or CSV; missing ids and unknown companies rejected (S3)."""
+    """Payroll table in Parquet or CSV; missing ids and unknown companies rejected (S3).
+
+    Lines of a CSV with more cells than its header are rejected too.
+    """
     source = "payroll"
 
     def read() -> Ingested:
         if fmt == "csv":
-            raw = _read_csv_strings(spark, path, False, "UTF-8", NULL_TOKENS).drop(_CORRUPT)
+            raw = _read_csv_strings(spark, path, False, "UTF-8", NULL_TOKENS)
         else:
             raw = spark.read.format(fmt).load(path).select("*", _row_position())
 
         def split(df: DataFrame) -> Ingested:
-            kept, no_id = reject_missing_identity(df, source, "employee_id")
+            lines = _split_over_long(df, source) if fmt == "csv" else Ingested(df, no_rejects(spark))
+            kept, no_id = reject_missing_identity(lines.frame, source, "employee_id")
             kept, no_company = reject_unknown_origin(kept, source, "source", rules.companies)
-            return Ingested(align_employees(kept, source), no_id.unionByName(no_company))
+            rejects = union_sources([lines.rejects, no_id, no_company])
+            return Ingested(align_employees(kept, source), rejects)
 
         return require_columns(raw, source, split)
 
@@ -349,11 +370,15 @@ def read_benefits_xml(spark: SparkSession, path: str) -> Ingested:
 
 
 def ingest_employees(
-    spark: SparkSession, paths: Mapping[str, str], rules: EmployeeRules, payroll_format: str = "parquet"
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    rules: EmployeeRules,
+    payroll_format: str = "parquet",
+    multi_line: bool = True,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Every employee source by name, and all their rejects."""
     readers = {
-        "globaltech_hris": lambda p: read_hris_csv(spark, p),
+        "globaltech_hris": lambda p: read_hris_csv(spark, p, multi_line),
         "acquiredco_hris": lambda p: read_hris_json(spark, p),
         "payroll": lambda p: read_payroll(spark, p, rules, payroll_format),
         "benefits": lambda p: read_benefits_xml(spark, p),
@@ -363,16 +388,29 @@ def ingest_employees(
     return frames, union_sources(got.rejects for got in read.values())
 
 
-def read_website_csv(spark: SparkSession, path: str, rules: CustomerRules) -> DataFrame:
-    """Latin-1 customer CSV without its test accounts."""
-    raw = _read_csv_strings(spark, path, True, "ISO-8859-1", WEBSITE_NULL_TOKENS).drop(_CORRUPT)
-    names = normalize_headers(c for c in raw.columns if c != POSITION)
-    renamed = raw.toDF(*names, POSITION).withColumnsRenamed(
+def read_website(
+    spark: SparkSession, path: str, rules: CustomerRules, multi_line: bool = True
+) -> Ingested:
+    """Latin-1 customer CSV without its test accounts (S5); over-long lines are rejected.
+
+    ``multi_line`` is that of ``read_hris_csv``.
+    """
+    raw = _read_csv_strings(spark, path, multi_line, "ISO-8859-1", WEBSITE_NULL_TOKENS)
+    lines = _split_over_long(raw, "website")
+    names = normalize_headers(c for c in lines.frame.columns if c != POSITION)
+    renamed = lines.frame.toDF(*names, POSITION).withColumnsRenamed(
         {"customeremail": "email", "optout": "opt_out"}
     )
     dated = renamed.withColumn("registration_date", iso_timestamp(F.col("registration_date")))
     real = drop_test_accounts(dated, rules.test_account_pattern)
-    return align_customers(real.withColumn("source", F.lit("website")))
+    return Ingested(align_customers(real.withColumn("source", F.lit("website"))), lines.rejects)
+
+
+def read_website_csv(
+    spark: SparkSession, path: str, rules: CustomerRules, multi_line: bool = True
+) -> DataFrame:
+    """The rows of ``read_website``."""
+    return read_website(spark, path, rules, multi_line).frame
 
 
 def customer_elements(elements: DataFrame) -> DataFrame:

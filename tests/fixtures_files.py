@@ -31,7 +31,7 @@ def write_employee_sources(root, spark):
         employee("ACQ_00001", "Sam", "Poe", " shared@EXAMPLE.com ", "2022-05-10T08:00:00Z"),
         employee("ACQ_DUP_00002", "Duplicate", "Row", None, "2021-01-01T00:00:00Z"),
         employee("ACQ_00002", "Canonical", None, "can@example.com", "2021-01-01T00:00:00Z"),
-        employee(7, "Ann", "Lea", "lea@example.com", "2021-03-20T00:00:00Z"),
+        employee(7, "Ann", "Leed","lea@example.com", "2021-03-20T00:00:00Z"),
         employee("", "No", "Id", None, None),
         employee(0, "Zero", "Id", None, None),
         "just text",

@@ -91,6 +91,39 @@ def test_payroll(spark, paths, rules):
         "Missing required identity field: employee_id", "Unknown payroll company source", "Unknown payroll company source"]
 
 
+PAY_HEADER = "employee_id,source,base_salary,currency,pay_frequency,bonus_target_pct,effective_date\n"
+
+
+def test_payroll_csv_keeps_over_long_lines_as_rejects(spark, rules, tmp_path):
+    (tmp_path / "p.csv").write_text(PAY_HEADER + "8,GlobalTech,70,EUR,Annual,1,2024-01-01\n9,GlobalTech,80,EUR,Annual,1,2024-01-01,x,y\n")
+    got = readers.read_payroll(spark, str(tmp_path / "p.csv"), rules, "csv")
+    assert [r.employee_id for r in got.frame.collect()] == ["8"]
+    ((reason, record),) = reasons(got.rejects)
+    assert reason == "Malformed CSV row" and record["line"].endswith(",x,y")
+
+
+def test_files_with_another_column_order_fail(spark, rules, tmp_path):
+    (tmp_path / "a.csv").write_text(PAY_HEADER + "8,GlobalTech,70,EUR,Annual,1,2024-01-01\n")
+    (tmp_path / "b.csv").write_text(PAY_HEADER.replace("base_salary,currency", "currency,base_salary") + "9,GlobalTech,EUR,7,Annual,1,2024-01-01\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_payroll(spark, str(tmp_path), rules, "csv").frame.collect()
+
+
+@pytest.mark.parametrize("names,made_up", [(["a", "b"], False), (["a", "_c1"], True), (["a0", "a1", "b"], True), (["x1", "line1"], False)])
+def test_made_up_header_names(names, made_up):
+    assert readers._renamed(names) is made_up
+
+
+def test_website_keeps_over_long_lines_as_rejects(spark, customer_rules, tmp_path):
+    (tmp_path / "w.csv").write_text(
+        "CustomerEmail,First Name,Last Name,Phone,Region,Registration Date,OptOut\n"
+        "kim@here.example,Kim,Oh,1,US,2020-01-05,0\nlou@here.example,Lou,Ek,1,US,2020-01-05,0,more,cells\n")
+    got = readers.read_website(spark, str(tmp_path / "w.csv"), customer_rules)
+    assert [r.first_name for r in got.frame.collect()] == ["Kim"]
+    ((reason, record),) = reasons(got.rejects)
+    assert reason == "Malformed CSV row" and record["line"].startswith("lou@")
+
+
 def test_benefits(spark, paths):
     got = readers.read_benefits_xml(spark, paths["benefits"])
     rows = got.frame.orderBy("benefit_plans").collect()
