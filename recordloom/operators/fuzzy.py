@@ -145,26 +145,12 @@ def _left_pieces(cells: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _crowded(cells: DataFrame, threshold: int) -> bool:
-    """Whether any segment text might be shared by more cells than one task should take.
-
-    A text is looked up within one bucket and length, and a name yields it at most once per
-    shift, so the cells of a bucket and length bound its rows. This runs a small job.
-    """
-    length = F.length("name")
-    shifts = F.floor(length * F.lit(2 * (100 - threshold) / threshold)) + 1
-    sizes = cells.groupBy("bucket", length.alias("length"), shifts.alias("shifts")).count()
-    return not sizes.where(F.col("count") * F.col("shifts") > _CELLS_PER_TASK).isEmpty()
-
-
 def _matching_cells(cells: DataFrame, rules: EmployeeRules) -> DataFrame:
     """Pairs of cells whose names score high enough, each once."""
     t = rules.fuzzy_threshold
     outsiders = F.lit(len(rules.companies) + 1)
     left, right = _left_pieces(cells, t), _right_pieces(cells, t)
-    crowded = _crowded(cells, t)
-    joined = grid_join(left, right, "piece", _CELLS_PER_TASK) if crowded else left.join(right, "piece")
-    met = joined.where(
+    met = grid_join(left, right, "piece", _CELLS_PER_TASK).where(
         (F.col("left_class") != F.col("right_class")) | (F.col("left_class") == outsiders)
     )
     total = F.length("left_name") + F.length("right_name")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BROADCAST_ROWS = 100_000
-
 
 def hot_keys(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -> DataFrame:
     """Keys over the limit on either side, and the lines and columns to cut them into.
@@ -44,16 +42,10 @@ def grid_join(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -
     line of it and is repeated along the columns, a right row the other way round, so each
     pair meets in exactly one cell.
 
-    Hot keys are counted when the join is built, which runs a job. Without any, the result
-    is the plain join. A few are broadcast; if there are more than a broadcast should
-    carry, they are joined like any other table.
+    The plan is one at every size and stays lazy: hot keys are counted as part of it, and
+    adaptive execution chooses how to join the counted table from its measured size.
     """
     hot = hot_keys(left, right, key, rows_per_task)
-    found = hot.limit(_BROADCAST_ROWS + 1).count()
-    if found == 0:
-        return left.join(right, key)
-    if found <= _BROADCAST_ROWS:
-        hot = F.broadcast(hot)
     lines = _place(left, hot, key, "_lines", "_columns", ("_line", "_column"))
     columns = _place(right, hot, key, "_columns", "_lines", ("_column", "_line"))
     return lines.join(columns, [key, "_line", "_column"]).drop("_line", "_column")
