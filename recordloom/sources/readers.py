@@ -84,8 +84,11 @@ def guarded_read(
         return _source_failure(spark, source, reason, F.struct(F.lit(path).alias("filepath")))
 
 
-def _source_failure(spark: SparkSession, source: str, reason: str, record: Column) -> Ingested:
-    row = spark.range(1).select(
+def _source_failure(
+    spark: SparkSession, source: str, reason: str, record: Column, rows: DataFrame | None = None
+) -> Ingested:
+    """One reject and an empty frame; with ``rows`` only where these are not empty."""
+    row = (spark.range(1) if rows is None else rows.limit(1)).select(
         F.lit(source).alias("source_system"),
         F.lit(reason).alias("reason"),
         F.to_json(record).alias("raw_record"),
@@ -334,8 +337,19 @@ def split_enrolments(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _xml_tags(spark: SparkSession, path: str) -> list[str]:
+    """Child tags that at least one enrolment has, empty ones too; one pass over the files."""
+    reader = spark.read.format("xml").option("rowTag", "enrollment").option("inferSchema", False)
+    names = reader.option("columnNameOfCorruptRecord", _CORRUPT).load(path).columns
+    return [n for n in names if n != _CORRUPT]
+
+
 def read_benefits_xml(spark: SparkSession, path: str) -> Ingested:
-    """Enrolment elements; a file with a broken element is left out as a whole."""
+    """Enrolment elements; a file with a broken element is left out as a whole.
+
+    Where there are enrolments but no element has one of the required tags, the source is one
+    reject and an empty frame (S11).
+    """
     source = "benefits"
     fields = REQUIRED_COLUMNS[source]
 
@@ -364,7 +378,16 @@ def read_benefits_xml(spark: SparkSession, path: str) -> Ingested:
         )
         whole = parsed.join(broken, parsed[POSITION]["file"] == broken["_file"], "left_anti")
         kept, bad = split_enrolments(whole.drop(_CORRUPT))
-        return Ingested(align_employees(kept, source), failures.unionByName(bad))
+        rejects = failures.unionByName(bad)
+        tags = _xml_tags(spark, path)
+        missing = sorted(set(fields) - set(tags))
+        if not missing:
+            return Ingested(align_employees(kept, source), rejects)
+        available = F.array(*map(F.lit, tags)).cast("array<string>").alias("available_columns")
+        lost = _source_failure(
+            spark, source, f"Missing required columns: {missing}", F.struct(available), kept
+        )
+        return Ingested(lost.frame, rejects.unionByName(lost.rejects))
 
     return guarded_read(spark, source, path, read)
 

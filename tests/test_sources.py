@@ -136,6 +136,21 @@ def test_benefits(spark, paths):
         "ParseError: malformed XML document"]
 
 
+def test_benefits_without_required_tags(spark, tmp_path):
+    one = "<enrollment><employee_id>{}</employee_id><plan_type>Dental</plan_type><coverage_level/></enrollment>"
+    (tmp_path / "few.xml").write_text("<benefits>" + one.format("1") + one.format("") + "</benefits>")
+    got = readers.read_benefits_xml(spark, str(tmp_path / "few.xml"))
+    assert got.frame.isEmpty() and list(got.frame.columns) == list(EMPLOYEE_SCHEMA)
+    by = dict(reasons(got.rejects))
+    assert set(by) == {"Malformed enrollment or missing employee_id/plan_type",
+                       "Missing required columns: ['enrollment_date', 'premium_employee', 'premium_employer']"}
+    assert {"available_columns": ["coverage_level", "employee_id", "plan_type"]} in [
+        {k: sorted(v) for k, v in r.items()} for r in by.values() if "available_columns" in r]
+    (tmp_path / "none.xml").write_text("<benefits></benefits>")
+    none = readers.read_benefits_xml(spark, str(tmp_path / "none.xml"))
+    assert none.frame.isEmpty() and none.rejects.isEmpty()
+
+
 def test_align(spark):
     df = spark.createDataFrame([("42", "Ada", "Lovelace")], "employee_id string, first_name string, last_name string")
     got = align.align_employees(df, "globaltech_hris")
