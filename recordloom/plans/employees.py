@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordloom.config import EmployeeRules
 from recordloom.functions.identity import ensure_provenance
@@ -17,6 +18,7 @@ from recordloom.operators.profile import (
     enrolment_rate_by_department,
     headcount_by_country,
     headcount_by_department,
+    run_summary,
     salary_distribution,
     tenure_histogram,
     tenure_median,
@@ -34,7 +36,7 @@ from recordloom.operators.resolve import (
 from recordloom.plans.staging import stage_folder, staged
 from recordloom.sinks import files
 from recordloom.sources.align import union_sources
-from recordloom.sources.readers import ingest_employees
+from recordloom.sources.readers import ingest_employees, json_elements, reconcile_count
 
 COLUMN_DESCRIPTIONS: Mapping[str, str] = {
     "employee_id": "Company prefix and six digits; unique in this table",
@@ -206,8 +208,45 @@ class EmployeeJob:
 
     def run(self) -> dict[str, str]:
         """All stages in order; a failed gate stops before profile and golden table."""
-        found = self.resolve(self.clean(self.ingest()))
+        cleaned = self.clean(self.ingest())
+        found = self.resolve(cleaned)
         report = self.validate(found.employees)
         profiles = self.profile(found.employees, report)
         published = self.publish(found.employees, found.ghosts, found.probable_matches)
-        return {**published, **profiles}
+        summary = self.summarize(cleaned, found, report)
+        return {**published, **profiles, "run_summary": summary}
+
+    def summarize(
+        self, cleaned: Mapping[str, DataFrame], found: Resolved, report: DataFrame
+    ) -> str:
+        """Rows of sources and results, methods, check outcomes and warnings.
+
+        Cleaning keeps every row, so the written sources stand for the ones that were read.
+        """
+        results = {
+            "golden_employees": found.employees,
+            "ghost_employees": found.ghosts,
+            "probable_matches": found.probable_matches,
+        }
+        counts = run_summary(cleaned, results, found.employees)
+        checks = report.groupBy(F.concat(F.lit("checks:"), "status").alias("metric")).agg(
+            F.count("*").alias("value")
+        )
+        empty = counts.where(F.col("metric").isin(*cleaned) & (F.col("value") == 0)).select(
+            F.concat(F.lit("warning:empty source "), "metric").alias("metric"), "value"
+        )
+        lines = [counts, checks, empty]
+        # a source that cannot be read has been dead-lettered and counts as empty above
+        if not cleaned["acquiredco_hris"].isEmpty():
+            docs = json_elements(
+                self.spark, self.paths["acquiredco_hris"], "employees", "total_records bigint"
+            )
+            stated = F.concat(F.lit("warning:stated "), "total_records", F.lit(" records in "), "file")
+            lines.append(
+                reconcile_count(docs).select(
+                    stated.alias("metric"), F.col("actual_records").alias("value")
+                )
+            )
+        return files.write_review_csv(
+            union_sources(lines), f"{self.output}/run_summary", single_file=True
+        )

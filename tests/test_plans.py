@@ -53,6 +53,16 @@ def test_review_files(spark, finished):
     assert report.count() == 15
 
 
+def test_run_summary(spark, finished):
+    job, out = finished
+    lines = {r.metric: int(r.value) for r in spark.read.csv(out["run_summary"], header=True).collect()}
+    assert (lines["globaltech_hris"], lines["acquiredco_hris"], lines["payroll"], lines["benefits"]) == (6, 4, 5, 2)
+    assert (lines["golden_employees"], lines["ghost_employees"], lines["probable_matches"]) == (6, 1, 1)
+    assert lines["method:email_match"] == 1 and sum(v for k, v in lines.items() if k.startswith("checks:")) == 15
+    ((warning, actual),) = [(k, v) for k, v in lines.items() if k.startswith("warning:")]
+    assert warning.startswith("warning:stated 99 records in ") and actual == 9
+
+
 def test_dead_letters(spark, finished):
     job, _ = finished
     letters = files.read_dead_letters(spark, f"{job.output}/dead_letters")
