@@ -219,6 +219,20 @@ def test_passages(docs, nothing):
     assert passages.repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("size,count,apart", [(50, 2, 30), (55, 2, 30), (80, 3, 40), (60, 2, 20), (50, 2, 60)])
+def test_passages_with_own_words_between(spark, size, count, apart):
+    shared = [prose(size, 700 + i) for i in range(count)]
+    rows = []
+    for doc in (1, 2):
+        body = [w for i, part in enumerate(shared) for w in (part, prose(apart, 800 + 10 * doc + i))]
+        rows.append((doc, " ".join([prose(30, 900 + doc), *body])))
+    spans = passages.merged(passages.repeats(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    for doc in (1, 2):
+        covered = {w for r in spans if r.id == doc for w in range(r.low, r.high)}
+        for i in range(count):
+            assert covered >= set(range(30 + i * (size + apart), 30 + i * (size + apart) + size))
+
+
 def test_chain_is_the_best_of_all():
     for seed in range(30):
         rng = np.random.default_rng(seed)
