@@ -233,6 +233,20 @@ def test_passages_with_own_words_between(spark, size, count, apart):
             assert covered >= set(range(30 + i * (size + apart), 30 + i * (size + apart) + size))
 
 
+@pytest.mark.parametrize("more", [0, 6])
+def test_passages_whose_parts_occur_in_smaller_documents(spark, more):
+    """No smaller document has 50 words of the passage, so only the largest two can show it."""
+    quotes = [(0, 45), (15, 60), *[(5 * i, 5 * i + 30) for i in range(more)]]
+    rows, whole = [], []
+    for case in range(5):
+        notice = prose(60, 40 + case).split()
+        for lo, hi in [*quotes, (0, 60), (0, 60)]:
+            rows.append((len(rows), " ".join([prose(20, 2000 + len(rows)), *notice[lo:hi], prose(20, 3000 + len(rows))])))
+        whole += [rows[-2][0], rows[-1][0]]
+    spans = {r.id: r for r in passages.merged(passages.repeats(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert all(i in spans and spans[i].low <= 22 and spans[i].high >= 78 for i in whole)
+
+
 def test_chain_is_the_best_of_all():
     for seed in range(30):
         rng = np.random.default_rng(seed)
