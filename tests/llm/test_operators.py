@@ -247,6 +247,23 @@ def test_passages_whose_parts_occur_in_smaller_documents(spark, more):
     assert all(i in spans and spans[i].low <= 22 and spans[i].high >= 78 for i in whole)
 
 
+def test_recall_of_changed_passages(spark):
+    """60 words, one word in ``every`` changed, or that share of them at random places."""
+    rows, home, cases = [], {}, 40
+    for every in (5, 8, 13, 20, 0.05, 0.1, 0.15, 0.2):
+        for case in range(cases):
+            rng = np.random.default_rng(case)
+            words = prose(60, len(rows) + 50_000).split()
+            changed = [i % every == every // 2 for i in range(60)] if every > 1 else rng.permutation(60) < every * 60
+            other = [f"own{i}x" if c else w for i, (w, c) in enumerate(zip(words, changed))]
+            for part in (words, other):
+                home[len(rows)] = every
+                rows.append((len(rows), " ".join([prose(40, len(rows) + 60_000), *part, prose(40, len(rows) + 70_000)])))
+    found = {r.id for r in passages.merged(passages.repeats(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    recall = {every: sum(home[i] == every for i in found) / (2 * cases) for every in home.values()}
+    assert min(recall.values()) >= 0.95, recall
+
+
 def test_chain_is_the_best_of_all():
     for seed in range(30):
         rng = np.random.default_rng(seed)
