@@ -125,6 +125,13 @@ def test_pieces_encode_as_the_whole(text):
     assert test_pieces_encode_as_the_whole.own.encode([text])[0].tolist() == whole(text)
 
 
+def test_added_tokens_are_recognised_as_in_a_plain_call():
+    plain, own = Tokenizer.from_file(VOCABULARY), Encoder(VOCABULARY)
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b c", "<|endoftext |> <|endof text|>", "one two", "x  <|endoftext|> "]
+    for _ in range(2):
+        assert [x.tolist() for x in own.encode(texts)] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_token_files(spark, docs, nothing, tmp_path):
     wavelet.write_files(docs, str(tmp_path / "files"), VOCABULARY, shard=500, partitions=3)
     got = sorted(wavelet.read_files(spark, str(tmp_path / "files")).collect(), key=lambda r: r.start)
