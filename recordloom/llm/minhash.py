@@ -228,11 +228,20 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows that stay, as they came: one of each class, and all rows with a null id."""
-    gone = staged(near_classes(df, id_col, text_col, **how).where("not kept").select("id").distinct())
+    """The rows that stay, as they came: one of each class, and all rows with a null id.
+
+    Rows are numbered in a written table and compared under these numbers, so different texts
+    may share an id. Of a class the row with the smallest id stays.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
     own = F.col(f"`{id_col}`")
-    rest = df.where(own.isNotNull()).join(gone.withColumnRenamed("id", "__gone"), own.cast("long") == F.col("__gone"), "left_anti").dropDuplicates([id_col])
-    return rest.unionByName(df.where(own.isNull()))
+    key = F.when(own.isNotNull(), F.monotonically_increasing_id()).alias("key")
+    rows = staged(df.select(key, whole))
+    rows = rows.select("key", "row", F.col("row")[id_col].alias("own"), F.col("row")[text_col].alias("text"))
+    classes = near_classes(rows.select("key", "text"), "key", "text", **how).where("id is not null").select(F.col("id").alias("key"), "component_id")
+    first = F.min(F.struct("own", "key"))["key"].alias("key")
+    stay = rows.select("key", "own").join(classes, "key").groupBy("component_id").agg(first).select("key")
+    return rows.select("key", "row").join(stay, "key", "left_semi").unionByName(rows.where("key is null").select("key", "row")).select("row.*")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

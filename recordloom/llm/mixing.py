@@ -107,8 +107,11 @@ def _round_source(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source_key": rows["source_key"], "size": rows["size"], "n": rows["docs"], "copies": copies})
 
 
-def mixed(rows: DataFrame, most: float = MOST, **goal) -> DataFrame:
-    """``rows`` of id, source_key, size and any others; adds source_size, target, copies."""
+def mixed(rows: DataFrame, most: float = MOST, ties: tuple[str, ...] = (), **goal) -> DataFrame:
+    """``rows`` of id, source_key, size and any others; adds source_size, target, copies.
+
+    Columns in ``ties`` order rows of equal ids.
+    """
     bins = staged(rows.groupBy("source_key", "size").agg(F.count(F.lit(1)).alias("docs")))
     goals = staged(targets(bins, most=most, **goal))
     tilt = duals(bins, goals, most)
@@ -123,7 +126,7 @@ def mixed(rows: DataFrame, most: float = MOST, **goal) -> DataFrame:
     h = F.xxhash64("id")
     each = each.withColumn("group", F.pmod(h, groups)).withColumn("h", F.xxhash64("id", F.lit(7)))
     part = Window.partitionBy("source_key", "size", "group")
-    rank = F.row_number().over(part.orderBy("h", "id"))
+    rank = F.row_number().over(part.orderBy("h", "id", *ties))
     here = F.count(F.lit(1)).over(part)
     extra = F.col("copies") % F.col("n")
     # a group takes its share of the last copies; the golden ratio evens out what rounding leaves
@@ -145,16 +148,14 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **goal) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with the columns as they came.
 
-    Every row is kept whole in a written table while copies are found, so rows need no unique id.
+    Every row is kept whole in a written table under a number of its own, by which copies are
+    found and given, so rows need no unique id.
     """
     whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
-    rows = staged(sized(df, id_col, text_col, source_col, [whole]))
-    slim = rows.select("id", "source_key", "size")
-    found = mixed(slim).groupBy("id", "source_key", "size").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("rows"))
-    same = lambda c: rows[c].eqNullSafe(found[c])
-    joined = rows.join(found, same("id") & same("source_key") & same("size")).select(rows["row"], "all", "rows")
-    times = F.floor(F.col("all") / F.col("rows")).cast("int")
-    return joined.where(times > 0).select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("_")).select("row.*")
+    rows = staged(sized(df, id_col, text_col, source_col, [whole, F.monotonically_increasing_id().alias("key")]))
+    found = mixed(rows.select("id", "source_key", "size", "key"), ties=("key",), **goal).where("copies > 0").select("key", "copies")
+    joined = rows.select("key", "row").join(found, "key")
+    return joined.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_")).select("row.*")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -111,6 +111,23 @@ def test_mixing_meets_targets(spark, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_rows_without_unique_ids_keep_their_copies(spark):
+    """70 copies for 100 rows of one null id, source and length."""
+    rows = [(None, f"one two three n{i}", "a") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = [r.text for r in mixing.mixed_rows(df, budget=0.7).collect()]
+    assert len(got) == 70 and set(got) <= {r[1] for r in rows}
+
+
+def test_near_deduplication_keeps_different_texts_of_one_id(spark):
+    texts = [prose(60, 90 + i) for i in range(6)]
+    rows = [*((1, t) for t in texts), (0, texts[0] + " more"), (2, texts[1]), (None, texts[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(minhash.deduplicated(df).collect(), key=str)
+    want = [(1, t) for t in texts[1:]] + [(0, texts[0] + " more"), (None, texts[2])]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def whole(text):
     tokenizer = Tokenizer.from_file(VOCABULARY)
     tokenizer.encode_special_tokens = True
