@@ -3,7 +3,9 @@
 The five-word shingles of a text weigh 1 + ln(times they occur). Each shingle is a Poisson
 process whose rate is its weight; an arrival lands in one of the registers, and a register keeps
 the shingle of its first arrival. Two texts agree in a register with the probability Jaccard
-similarity of their weighted shingles. A shingle stops as soon as its next arrival is later than
+similarity of their weighted shingles. A second set of registers has weights of 1, so that two
+texts agree in one with the similarity of their shingle sets, which decides; both sets give
+candidates, and register agreement is taken from the second. A shingle stops as soon as its next arrival is later than
 the latest first arrival of all registers. Registers in bands give candidates; candidates are
 verified by the exact Jaccard similarity of the shingle sets of the whole texts.
 
@@ -83,11 +85,14 @@ def _sign(words: int, bands: int, rows: int):
                 full = [i for i, (s, _) in enumerate(sets) if len(s)]
                 if not full:
                     continue
-                got = signatures([sets[i] for i in full], bands * rows)
-                keys = np.zeros((len(full), bands), np.uint64)
+                got = signatures([(sets[i][0], np.ones(len(sets[i][0]))) for i in full], bands * rows)
+                weighted, often = got.copy(), [k for k, i in enumerate(full) if sets[i][1].max() > 1]
+                if often:  # without repeats both are the same
+                    weighted[often] = signatures([sets[full[k]] for k in often], bands * rows)
+                keys = np.zeros((len(full), 2 * bands), np.uint64)
                 for r in range(rows):
-                    keys = keys * np.uint64(textops._BASE) + got[:, r::rows]
-                keys = textops.mix(keys + np.arange(bands, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+                    keys = keys * np.uint64(textops._BASE) + np.hstack([got[:, r::rows], weighted[:, r::rows]])
+                keys = textops.mix(keys + np.tile(np.arange(bands, dtype=np.uint64), 2) * np.uint64(0x632BE59BD9B4E019))
                 low = (got & np.uint64(255)).astype(np.uint8)
                 one = [int((sets[i][0] * np.uint64(3)).sum()) & (2**63 - 1) for i in full]
                 two = [int(textops.mix(sets[i][0]).sum()) & (2**63 - 1) for i in full]
@@ -97,7 +102,7 @@ def _sign(words: int, bands: int, rows: int):
                         pa.array([ids[first + i] for i in full], pa.int64()),
                         pa.array(one, pa.int64()),
                         pa.array(two, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * bands), flat),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * 2 * bands), flat),
                         pa.array([x.tobytes() for x in low], pa.binary()),
                     ],
                     names=["id", "one", "two", "bands", "registers"],

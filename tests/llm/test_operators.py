@@ -227,6 +227,19 @@ def test_near_duplicates_of_a_chain(spark):
     assert got == want and len(set(want.values())) == 1
 
 
+def test_near_duplicates_with_other_repetition(spark):
+    """Shingle sets are equal to 0.8 and more, but one text has a hundred of them fifty times."""
+    rows = []
+    for case in range(60):
+        words = prose(204, 300 + case).split()
+        changed = [*words[:186], *prose(18, 400 + case).split()]
+        rows += [(2 * case, " ".join(words)), (2 * case + 1, " ".join(words[:100] * 50 + changed))]
+    want = jaccard_classes(rows[:2])
+    assert want[1] == 0
+    got = {r.id: r.component_id for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == 120 and all(got[i] == i - i % 2 for i in got)
+
+
 def test_signatures_estimate_weighted_similarity():
     a = np.arange(400, dtype=np.uint64)
     items = textops.mix(a + np.uint64(1))
