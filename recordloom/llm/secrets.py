@@ -2,8 +2,9 @@
 
 Three patterns give the base spans. Two first-order Markov models of characters are trained on
 labelled samples from the whole corpus: random strings are the values inside base spans, ordinary
-identifiers are long runs of letters outside of them. Other long tokens of letters and digits
-are secrets where the mean log-likelihood ratio per step reaches ``RATIO``. Only DataFrame
+identifiers are long runs of letters outside of them, in a second round without those that the
+first takes for random. Other long tokens that hold a letter, with
+or without digits, are secrets where the mean log-likelihood ratio per step reaches ``RATIO``. Only DataFrame
 functions are used; the model is a table of 128 x 128 numbers, whatever the corpus.
 
 Offsets are code points, ends exclusive. Method spans never overlap base spans. Cases: a null or
@@ -26,8 +27,8 @@ ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # a maximal run of 20 or more, as a longer match never starts inside a short run
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
-#: A maximal run of 16 or more with a letter and a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
+#: A maximal run of 16 or more with a letter; the ordinary sample says nothing on runs without.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
 ORDINARY = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z]{16,}+(?![A-Za-z0-9+/_=-])"
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
 RATIO = 0.7  # nats a step
@@ -68,7 +69,7 @@ def scanned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         _spans(text, ACCESS, 1).alias("access"),
         _spans(text, HEX, 2).alias("hex"),
         _spans(text, CANDIDATE, 3).alias("candidates"),
-        F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0)).alias("ordinary"),
+        _spans(text, ORDINARY, 4).alias("ordinary"),
     )
 
 
@@ -77,13 +78,31 @@ def _steps(samples: DataFrame, label: str) -> DataFrame:
     return samples.where(F.length("value") >= 2).select(F.lit(label).alias("label"), pair.alias("pair")).groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ratios(found: DataFrame) -> list[float]:
+def _free(c: F.Column, *base: str) -> F.Column:
+    """Whether a span overlaps none of the base spans."""
+    return ~F.exists(F.concat(*base), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+
+
+def _model(numbers: list[float]) -> F.Column:
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<double>")  # a constant of the plan
+
+
+def _score(value: F.Column, model: F.Column) -> F.Column:
+    code = lambda i: F.ascii(F.substring(value, i, F.lit(1)))
+    total = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), lambda acc, i: acc + F.element_at(model, code(i) * 128 + code(i + 1) + 1))
+    return total / (F.length(value) - 1)
+
+
+def ratios(found: DataFrame, first: list[float] | None = None) -> list[float]:
     """Log-likelihood ratio of random to ordinary per pair of characters.
 
-    At most two counts for each pair of the alphabet reach the driver.
+    With ratios of a ``first`` round, samples that these take for random aren't ordinary. At most two counts for each pair of the alphabet reach the driver.
     """
     secret = found.select(F.explode(F.concat(F.transform("assign", lambda s: _assigned(s["value"])), F.transform("access", lambda s: s["value"]), F.transform("hex", lambda s: s["value"]))).alias("value"))
-    plain = found.select(F.explode("ordinary").alias("value"))
+    outside = F.filter("ordinary", lambda c: _free(c, "assign", "access", "hex"))
+    plain = found.select(F.explode(F.transform(outside, lambda s: s["value"])).alias("value"))
+    if first is not None:
+        plain = plain.where(_score(F.col("value"), _model(first)) <= 0)
     counts = {(r.label, r.pair): r.n for r in _steps(secret, "random").unionByName(_steps(plain, "ordinary")).collect()}
     out = [0.0] * (128 * 128)
     labels = "random", "ordinary"
@@ -102,16 +121,9 @@ def ratios(found: DataFrame) -> list[float]:
 def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ratio: float = RATIO) -> DataFrame:
     """Per row: id and ``base`` and ``extra`` as sorted arrays of (start, rank, end, value)."""
     found = staged(scanned(df, id_col, text_col))
-    model = F.split(F.lit(",".join(map(str, ratios(found)))), ",").cast("array<double>")  # a constant of the plan
-
-    def score(value):
-        code = lambda i: F.ascii(F.substring(value, i, F.lit(1)))
-        total = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), lambda acc, i: acc + F.element_at(model, code(i) * 128 + code(i + 1) + 1))
-        return total / (F.length(value) - 1)
-
+    model = _model(ratios(found, ratios(found)))
     rows = found.select("id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "candidates", F.size("assign").alias("n_assign"), F.size("access").alias("n_access"), F.size("hex").alias("n_hex"))
-    free = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    extra = F.filter("candidates", lambda c: free(c) & (score(c["value"]) >= ratio))
+    extra = F.filter("candidates", lambda c: _free(c, "base") & (_score(c["value"], model) >= ratio))
     return rows.select("id", "base", extra.alias("extra"), "n_assign", "n_access", "n_hex")
 
 

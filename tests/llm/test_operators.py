@@ -386,6 +386,16 @@ def test_secrets(spark, docs, nothing):
     assert secrets.spans(nothing).count() == 0 and secrets.spans(docs).count() == len(ROWS)
 
 
+def test_secrets_of_letters_alone(spark):
+    rng = np.random.default_rng(11)
+    key = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    texts = [f"token: '{key(24)}' internationalisation configurationmanager misunderstanding" for _ in range(150)]
+    texts += [f"see {key(32)} and internationalisation" for _ in range(20)]
+    found = secrets.spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    extra = {r.id: [texts[r.id][s.start : s.end] for s in r.extra] for r in found}
+    assert all(extra[i] == ([] if i < 150 else [t.split()[1]]) for i, t in enumerate(texts))
+
+
 def test_vectors(spark):
     centre = RNG.standard_normal((6, 16))
     rows = [(i, (centre[i % 6] + 0.03 * RNG.standard_normal(16)).tolist(), [0, 1, None][i // 6 % 3]) for i in range(90)]
