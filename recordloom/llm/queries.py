@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordloom.llm import exact, hosts, minhash, mixing, packing, passages, quality, secrets, vectors, wavelet
+from recordloom.llm import exact, hosts, lexical, lines, minhash, mixing, packing, passages, quality, resampling, secrets, vectors, wavelet
 
 QUERIES = {
     "op1_entropy_mix": mixing.op1,
@@ -15,9 +15,15 @@ QUERIES = {
     "op8_neighbour_vote": quality.op8,
     "op9_markov_secrets": secrets.op9,
     "op10_collision_counts": vectors.op10,
+    "op11_bloom_lines": lines.op11,
+    "op12_nra_search": lexical.op12,
+    "op13_median_resample": resampling.op13,
 }
 
 ORACLES = {
     "op3_content_sort": exact.OP3_SQL,
     "op10_collision_counts": vectors.OP10_SQL,
+    "op11_bloom_lines": lines.OP11_SQL,
+    "op12_nra_search": lexical.OP12_SQL,
+    "op13_median_resample": resampling.OP13_SQL,
 }
