@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordloom.config import CustomerRules
 from recordloom.operators.clean import clean_customers
@@ -18,9 +20,10 @@ from recordloom.operators.profile import (
 )
 from recordloom.operators.quality import customer_report
 from recordloom.operators.resolve import merge_customers
-from recordloom.plans.staging import stage_folder, staged
+from recordloom.plans.staging import Counts, stage_folder, staged
 from recordloom.sinks import files
-from recordloom.sources.readers import ingest_customers, read_website
+from recordloom.sources.align import union_sources
+from recordloom.sources.readers import ingest_customer_sources
 
 
 def resolve_customers(raw: DataFrame, rules: CustomerRules) -> DataFrame:
@@ -45,19 +48,35 @@ def integrate_customers(
 ) -> dict[str, str]:
     """Read, merge, check, profile and write; the merged table is written once and reread.
 
-    Over-long website lines are dead-lettered, as in the employee job.
+    Every source is parsed once. Over-long website lines are dead-lettered, as in the employee
+    job, and the run summary has the rows of sources and results, the check outcomes and
+    warnings; its numbers were counted while the tables were written.
     """
     stage = stage_folder(spark, f"{output}/_stage")
-    merged = resolve_customers(ingest_customers(spark, paths, rules), rules)
+    counts = Counts()
+    read = ingest_customer_sources(spark, paths, rules, stage)
+    per_source = {n: F.count_if(F.col("source") == n) for n in read}
+    stacked = union_sources(got.frame for got in read.values())
+    raw = staged(counts.watch(stacked, "customer_records", per_source), stage, "stacked")
+    merged = counts.watch(resolve_customers(raw, rules), "golden_customers")
     customers = staged(merged, stage, "customers")
-    report = files.write_quality_report(
-        customer_report(customers, rules), f"{output}/quality_report"
-    )
+    checks = staged(customer_report(customers, rules), stage, "report")
+    report = files.write_quality_report(checks, f"{output}/quality_report")
     profiles = {
         name: files.write_review_csv(df, f"{output}/profile/{name}", single_file=True)
         for name, df in profile_customers(customers).items()
     }
-    rejects = read_website(spark, paths["website"], rules).rejects
+    rejects = union_sources(got.rejects for got in read.values())
     letters = files.write_dead_letters(rejects, f"{output}/dead_letters")
-    reports = {"quality_report": report, "dead_letters": letters}
+    seen = counts.seen
+    website = read["website"].seen
+    lines = [(n, seen[n]) for n in (*read, "customer_records", "golden_customers")]
+    lines += [("test_accounts_removed", website["test_accounts"])]
+    outcomes = Counter(r.status for r in checks.select("status").collect())
+    lines += [(f"checks:{status}", n) for status, n in sorted(outcomes.items())]
+    lines += [(f"warning:empty source {n}", 0) for n in read if not seen[n]]
+    malformed = website["rows_rejected"] - website["test_accounts"]
+    lines += [("warning:malformed lines in website", malformed)] if malformed else []
+    summary = files.write_summary(spark, lines, f"{output}/run_summary")
+    reports = {"quality_report": report, "dead_letters": letters, "run_summary": summary}
     return {**reports, **files.write_golden_customers(customers, output), **profiles}

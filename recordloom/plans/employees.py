@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.config import EmployeeRules
-from recordloom.functions.identity import ensure_provenance
+from recordloom.functions.identity import ensure_provenance, unformattable
 from recordloom.operators.clean import clean_all_employees
 from recordloom.operators.fuzzy import probable_matches
 from recordloom.operators.profile import (
@@ -33,10 +34,11 @@ from recordloom.operators.resolve import (
     merge_by_email,
     source_frames,
 )
-from recordloom.plans.staging import stage_folder, staged
+from recordloom.plans.staging import Counts, stage_folder, staged
 from recordloom.sinks import files
+from recordloom.sinks.files import write_summary
 from recordloom.sources.align import union_sources
-from recordloom.sources.readers import ingest_employees, json_elements, reconcile_count
+from recordloom.sources.readers import Ingested, ingest_employees
 
 COLUMN_DESCRIPTIONS: Mapping[str, str] = {
     "employee_id": "Company prefix and six digits; unique in this table",
@@ -77,6 +79,9 @@ COLUMN_DESCRIPTIONS: Mapping[str, str] = {
 }
 
 
+DEDUP_METHODS = ("exact_id", "email_match", "single_source")
+
+
 @dataclass(frozen=True)
 class Resolved:
     """Result of identity resolution; pairs for review only where they were asked for."""
@@ -87,7 +92,10 @@ class Resolved:
 
 
 def resolve_employees(
-    frames: Mapping[str, DataFrame], rules: EmployeeRules, folder: str | None = None
+    frames: Mapping[str, DataFrame],
+    rules: EmployeeRules,
+    folder: str | None = None,
+    counts: Counts | None = None,
 ) -> Resolved:
     """Exact ids, ghosts and e-mail merge (R2); pairs for review come from the employees.
 
@@ -101,8 +109,11 @@ def resolve_employees(
     # ids and addresses come from a written table, or else from the plan without enrichment
     spine = exact if folder else collapse_by_id(hris, rules)
     ghosts = detect_ghosts(frames["payroll"], employee_ids(spine))
-    employees = keep(ensure_provenance(merge_by_email(exact, rules, spine)), "employees")
-    return Resolved(employees, ghosts)
+    employees = ensure_provenance(merge_by_email(exact, rules, spine))
+    if counts is not None and folder:
+        methods = {f"method:{m}": F.count_if(F.col("dedup_method") == m) for m in DEDUP_METHODS}
+        employees = counts.watch(employees, "golden_employees", methods)
+    return Resolved(keep(employees, "employees"), ghosts)
 
 
 def profile_employees(
@@ -133,19 +144,30 @@ class EmployeeJob:
     rules: EmployeeRules
     payroll_format: str = "parquet"
     stage: str = field(default="")
+    counts: Counts = field(default_factory=Counts, compare=False)
+    read: dict[str, Ingested] = field(default_factory=dict, compare=False)
 
     def __post_init__(self) -> None:
         self.stage = self.stage or stage_folder(self.spark, f"{self.output}/_stage")
 
     def ingest(self) -> dict[str, DataFrame]:
-        frames, rejects = ingest_employees(self.spark, self.paths, self.rules, self.payroll_format)
+        """Each source is parsed once; its rows and its rejects come from the written result."""
+        self.read = ingest_employees(
+            self.spark, self.paths, self.rules, self.payroll_format, self.stage
+        )
+        rejects = union_sources(got.rejects for got in self.read.values())
         files.write_dead_letters(rejects, f"{self.output}/dead_letters")
-        return frames
+        return {name: got.frame for name, got in self.read.items()}
 
     def clean(self, frames: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
         """Cleaned sources, written once: the later stages read them several times."""
         lazy = clean_all_employees(self.ingest() if frames is None else frames, self.rules)
-        cleaned = {name: staged(df, self.stage, name) for name, df in lazy.items()}
+        lost = F.count_if(unformattable(F.col("manager_id_raw"), F.col("manager_id")))
+        watched = {
+            name: self.counts.watch(df, name, {f"unformattable_manager_ids:{name}": lost})
+            for name, df in lazy.items()
+        }
+        cleaned = {name: staged(df, self.stage, name) for name, df in watched.items()}
         files.write_unmapped(cleaned.values(), f"{self.output}/unmapped_departments")
         return cleaned
 
@@ -153,11 +175,13 @@ class EmployeeJob:
         cleaned = self.clean() if cleaned is None else cleaned
         lost = [reject_unformattable_ids(df, name)[1] for name, df in cleaned.items()]
         files.write_dead_letters(union_sources(lost), f"{self.output}/dead_letters")
-        found = resolve_employees(cleaned, self.rules, self.stage)
-        matches = staged(probable_matches(found.employees, self.rules), self.stage, "matches")
-        files.write_ghosts(found.ghosts, f"{self.output}/ghost_employees")
+        found = resolve_employees(cleaned, self.rules, self.stage, self.counts)
+        pairs = self.counts.watch(probable_matches(found.employees, self.rules), "probable_matches")
+        matches = staged(pairs, self.stage, "matches")
+        ghosts = staged(self.counts.watch(found.ghosts, "ghost_employees"), self.stage, "ghosts")
+        files.write_ghosts(ghosts, f"{self.output}/ghost_employees")
         files.write_probable_matches(matches, f"{self.output}/probable_matches")
-        return Resolved(found.employees, found.ghosts, matches)
+        return Resolved(found.employees, ghosts, matches)
 
     def validate(self, employees: DataFrame | None = None, gate: bool = True) -> DataFrame:
         """The report is written before the gate may raise."""
@@ -221,32 +245,29 @@ class EmployeeJob:
     ) -> str:
         """Rows of sources and results, methods, check outcomes and warnings.
 
-        Cleaning keeps every row, so the written sources stand for the ones that were read.
+        All numbers were counted while the tables were written; only the quality report, one row
+        per check, and the documents' table, one row per file, are read. Frames that this job
+        has not written itself are counted.
         """
         results = {
             "golden_employees": found.employees,
             "ghost_employees": found.ghosts,
             "probable_matches": found.probable_matches,
         }
-        counts = run_summary(cleaned, results, found.employees)
-        checks = report.groupBy(F.concat(F.lit("checks:"), "status").alias("metric")).agg(
-            F.count("*").alias("value")
-        )
-        empty = counts.where(F.col("metric").isin(*cleaned) & (F.col("value") == 0)).select(
-            F.concat(F.lit("warning:empty source "), "metric").alias("metric"), "value"
-        )
-        lines = [counts, checks, empty]
-        # a source that cannot be read has been dead-lettered and counts as empty above
-        if not cleaned["acquiredco_hris"].isEmpty():
-            docs = json_elements(
-                self.spark, self.paths["acquiredco_hris"], "employees", "total_records bigint"
-            )
-            stated = F.concat(F.lit("warning:stated "), "total_records", F.lit(" records in "), "file")
-            lines.append(
-                reconcile_count(docs).select(
-                    stated.alias("metric"), F.col("actual_records").alias("value")
-                )
-            )
-        return files.write_review_csv(
-            union_sources(lines), f"{self.output}/run_summary", single_file=True
-        )
+        seen = self.counts.seen
+        uncounted = {n: df for n, df in {**cleaned, **results}.items() if n not in seen}
+        if uncounted:
+            seen = seen | {r.metric: r.value for r in run_summary(uncounted, {}).collect()}
+        names = [*cleaned, *results, *(f"method:{m}" for m in DEDUP_METHODS if seen.get(f"method:{m}"))]
+        lines = [(name, seen[name]) for name in names]
+        outcomes = Counter(r.status for r in report.select("status").collect())
+        lines += [(f"checks:{status}", n) for status, n in sorted(outcomes.items())]
+        # a source that cannot be read has been dead-lettered and counts as empty
+        lines += [(f"warning:empty source {n}", 0) for n in cleaned if not seen[n]]
+        for name in cleaned:
+            lost = seen.get(f"unformattable_manager_ids:{name}")
+            lines += [(f"warning:unformattable manager ids in {name}", lost)] if lost else []
+        for got in self.read.values():
+            for r in got.stated.collect() if got.stated is not None else []:
+                lines.append((f"warning:stated {r.total_records} records in {r.file}", r.actual_records))
+        return write_summary(self.spark, lines, f"{self.output}/run_summary")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def stage_folder(spark: SparkSession, fallback: str | None = None) -> str:
@@ -30,3 +33,27 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Counts:
+    """Numbers that fall out of writes which happen anyway; no job is started for them.
+
+    They belong to the last stage of a write, whose tasks count once each, also when an executor
+    is lost and a task runs again. ``seen`` has them once the write has ended.
+    """
+
+    def __init__(self) -> None:
+        self._watched: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, name: str, more: Mapping[str, Column] | None = None) -> DataFrame:
+        """The frame, to be written by the caller; ``name`` counts its rows."""
+        observation = self._watched[name] = Observation()
+        extra = [c.alias(n) for n, c in (more or {}).items()]
+        return df.observe(observation, F.count(F.lit(1)).alias(name), *extra)
+
+    def __contains__(self, name: str) -> bool:
+        return name in self._watched
+
+    @property
+    def seen(self) -> dict[str, int]:
+        return {k: v for o in self._watched.values() for k, v in o.get.items()}

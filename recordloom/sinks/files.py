@@ -116,6 +116,12 @@ def write_golden_customers(customers: DataFrame, folder: str) -> dict[str, str]:
     return {"parquet": parquet, "csv": csv}
 
 
+def write_summary(spark: SparkSession, lines: Sequence[tuple[str, int]], path: str) -> str:
+    """Numbers and warnings of a run, in their order."""
+    table = spark.createDataFrame(list(lines), "metric string, value long")
+    return write_review_csv(table, path, single_file=True)
+
+
 def stringify(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as text, for sources whose column types differ from file to file (K9)."""
     return df.withColumns({c: F.col(c).cast("string") for c in columns})

@@ -11,7 +11,7 @@ from __future__ import annotations
 import csv
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -126,7 +126,7 @@ def _names(cells: Iterable[str]) -> list[str]:
     return names
 
 
-def _cells(line: Column, names: list[str]) -> tuple[list[Column], Column]:
+def split_cells(line: Column, names: Sequence[str]) -> tuple[list[Column], Column]:
     """The record's cells, and whether it has more than there are names.
 
     A sentinel cell is added at the end; it is among the first cells exactly when the record has
@@ -174,5 +174,5 @@ def read_records(spark: SparkSession, path: str, encoding: str = "UTF-8", folder
     raw = F.col("text")
     line = F.decode(raw, encoding) if encoding.upper() != "UTF-8" else F.make_valid_utf8(raw.cast("string"))
     texts = body.select(line.alias("line"), F.struct("file", "block", "row").alias("_pos"))
-    cells, too_long = _cells(F.col("line"), names)
+    cells, too_long = split_cells(F.col("line"), names)
     return Records(names, texts.select(*cells, "line", too_long.alias("too_long"), "_pos"))

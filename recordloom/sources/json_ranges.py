@@ -291,6 +291,6 @@ def read_array(spark: SparkSession, path: str, array: str, extra: str, folder: s
             F.col("file").alias("_file"),
             F.col("block").alias("_block"),
             F.col("row").alias("_pos"),
-            F.col("text").cast("string").alias("element"),
+            F.btrim(F.col("text").cast("string"), F.lit(" \t\r\n")).alias("element"),
         ),
     )

@@ -1,14 +1,16 @@
 """File readers with quarantine.
 
-A reader gives lazy frames: the standard-schema rows and the rejected records. Nothing is
-collected beyond a header line and one row of key-presence flags. Every row carries its
-place in the file, which later settles ties the way file order would.
+A reader parses its files once and writes every record with its outcome; the standard-schema rows
+and the rejects are both read from that table. Large CSV, JSON and XML files are read in ranges,
+by as many tasks as there are. The driver gets a line per range, a header or name per file,
+counts and flags. Every row carries its place in the file, which later settles ties the way file
+order would. Tables go to ``folder``, or to a fresh stage folder where none is given.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +29,9 @@ from recordloom.config import (
     EmployeeRules,
 )
 from recordloom.functions.dates import iso_timestamp
-from recordloom.functions.text import null_tokens, split_full_name, strip
-from recordloom.operators.quarantine import (
-    as_rejects,
-    drop_test_accounts,
-    no_rejects,
-    reject_missing_identity,
-    reject_unknown_origin,
-    split_off,
-)
+from recordloom.functions.text import is_blank, null_tokens, split_full_name, strip
+from recordloom.operators.quarantine import no_rejects
+from recordloom.plans.staging import stage_folder
 from recordloom.sources.align import (
     align_customers,
     align_employees,
@@ -44,19 +40,31 @@ from recordloom.sources.align import (
     normalize_headers,
     union_sources,
 )
-from recordloom.sources.spread import spread
+from recordloom.sources.csv_ranges import read_records, split_cells
+from recordloom.sources.json_ranges import read_array
+from recordloom.sources.outcomes import RAW, REASON, mark, written
+from recordloom.sources.xml_ranges import read_elements
 
-_CORRUPT = "_corrupt_record"
-_SENTINEL = "\u0002"
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
+_LINE, _TOO_LONG = "_line", "_too_long"
+_WITH_NULLS = {"ignoreNullFields": "false"}
 
 
 @dataclass(frozen=True)
 class Ingested:
-    """Good rows in the standard schema and the rejected records of one source."""
+    """Good rows in the standard schema and the rejected records of one source.
+
+    ``seen`` has what was counted while the source was written; ``stated`` the documents whose
+    stated number of records is not the actual one.
+    """
 
     frame: DataFrame
     rejects: DataFrame
+    seen: Mapping[str, object] = field(default_factory=dict)
+    stated: DataFrame | None = None
+
+
+#: columns that a reader adds to those of the source
+_BESIDE = (POSITION, _LINE, _TOO_LONG, REASON, RAW)
 
 
 def empty_employees(spark: SparkSession) -> DataFrame:
@@ -101,7 +109,7 @@ def require_columns(df: DataFrame, source: str, read: Callable[[DataFrame], Inge
     missing = missing_columns(df, REQUIRED_COLUMNS[source])
     if not missing:
         return read(df)
-    available = F.array(*(F.lit(c) for c in df.columns if c not in (POSITION, _CORRUPT)))
+    available = F.array(*(F.lit(c) for c in df.columns if c not in _BESIDE)).cast("array<string>")
     return _source_failure(
         df.sparkSession,
         source,
@@ -111,96 +119,75 @@ def require_columns(df: DataFrame, source: str, read: Callable[[DataFrame], Inge
 
 
 def over_long(raw: Column, width: int) -> Column:
-    """True when a delimited line has more than ``width`` fields.
-
-    A sentinel field is added at the end of the line; it is among the first ``width + 1``
-    fields exactly when the line has no more than ``width`` fields of its own.
-    """
-    names = [f"f{i}" for i in range(width + 1)]
-    ddl = ", ".join(f"{n} string" for n in names)
-    line = F.concat(F.regexp_replace(raw, r"[\r\n]+$", ""), F.lit("," + _SENTINEL))
-    parsed = F.from_csv(line, ddl, {"quote": '"', "escape": '"'})
-    # of the struct's fields only the sentinel's place matters
-    found = [F.coalesce(parsed[n] == _SENTINEL, F.lit(False)) for n in names]
-    return raw.isNotNull() & ~F.greatest(*found) if len(found) > 1 else raw.isNotNull()
+    """True when a delimited line has more than ``width`` fields."""
+    line = F.regexp_replace(raw, r"[\r\n]+$", "")
+    return raw.isNotNull() & split_cells(line, [f"c{i}" for i in range(width)])[1]
 
 
-def _read_csv_strings(
-    spark: SparkSession, path: str, multi_line: bool, encoding: str, tokens: Iterable[str]
+def _read_csv(
+    spark: SparkSession, path: str, encoding: str, tokens: Iterable[str], folder: str
 ) -> DataFrame:
-    """All columns as text under the header's names, null texts as null.
+    """Records with all cells as text under the header's names, null texts as null.
 
-    Cells are bound by position, so each file's header is compared with the first one's names
-    and the read fails where a file has other columns or another order. Only headers with
-    blank or repeated names, which Spark renames, can't be compared.
+    Cells are bound by position, so the files of one source must have equal headers; the read
+    fails otherwise. Names that are blank or repeated get their place as their end.
     """
-    # without column pruning every line is checked against the whole header
-    reader = spark.read.options(**_CSV).option("encoding", encoding).option("columnPruning", False)
-    names = reader.csv(path).columns
-    ddl = ", ".join(f"`{n}` string" for n in names) + f", {_CORRUPT} string"
-    raw = reader.schema(ddl).option("columnNameOfCorruptRecord", _CORRUPT).csv(
-        path, multiLine=multi_line, mode="PERMISSIVE", enforceSchema=_renamed(names)
+    found = read_records(spark, path, encoding, folder)
+    cells = [null_tokens(F.col(f"`{n}`"), tokens).alias(n) for n in found.names]
+    return found.rows.select(
+        *cells,
+        F.col("line").alias(_LINE),
+        F.col("too_long").alias(_TOO_LONG),
+        F.col("_pos").alias(POSITION),
     )
-    cells = [null_tokens(F.col(f"`{n}`"), tokens).alias(n) for n in names]
-    return spread(raw.select(*cells, _CORRUPT, _row_position()))
 
 
-def _renamed(names: Sequence[str]) -> bool:
-    """True when Spark made up a name: ``_c<place>`` for a blank, ``name<place>`` for a repeat."""
-    stems = [n.removesuffix(str(i)).lower() for i, n in enumerate(names) if n.endswith(str(i))]
-    return "_c" in stems or len(stems) != len(set(stems))
+def _raw_record(df: DataFrame) -> Column:
+    """A record as JSON with its nulls; one with too many cells also has its line."""
+    cells = [F.col(f"`{c}`") for c in df.columns if c not in _BESIDE]
+    plain = F.to_json(F.struct(*cells), _WITH_NULLS)
+    if _TOO_LONG not in df.columns:
+        return plain
+    whole = F.to_json(F.struct(*cells, F.col(_LINE).alias("line")), _WITH_NULLS)
+    return F.when(F.col(_TOO_LONG), whole).otherwise(plain)
 
 
-def _split_over_long(raw: DataFrame, source: str) -> Ingested:
-    """Lines with more cells than the header go to the rejects, whole; the rest loses its line."""
-    names = [c for c in raw.columns if c not in (POSITION, _CORRUPT)]
-    too_long = over_long(F.col(_CORRUPT), len(names))
-    malformed = as_rejects(
-        raw.where(too_long).withColumnRenamed(_CORRUPT, "line"), source, "Malformed CSV row"
-    )
-    return Ingested(raw.where(~too_long).drop(_CORRUPT), malformed)
+def _too_long(df: DataFrame) -> list[tuple[Column, str]]:
+    """Lines with more cells than the header are rejected whole; shorter ones have null cells."""
+    return [(F.col(_TOO_LONG), "Malformed CSV row")] if _TOO_LONG in df.columns else []
 
 
-def read_hris_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Ingested:
-    """Employee CSV: over-long lines are rejected, short ones padded with null.
+def _no_identity(column: str) -> tuple[Column, str]:
+    return is_blank(F.col(column)), f"Missing required identity field: {column}"
 
-    ``multi_line`` allows line breaks inside quotes but keeps Spark from splitting a file;
-    switch it off for very large files that have none.
-    """
-    source = "globaltech_hris"
 
-    def read() -> Ingested:
-        raw = _read_csv_strings(spark, path, multi_line, "UTF-8", NULL_TOKENS)
+def _employee_table(
+    df: DataFrame, source: str, folder: str, checks: Sequence[tuple[Column, str]]
+) -> Ingested:
+    """Rows of a table source, checked and written once."""
+    marked = mark(df, [*_too_long(df), *checks], _raw_record(df)).drop(_LINE, _TOO_LONG)
+    got = written(marked, source, folder)
+    return Ingested(align_employees(got.good, source), got.rejects, got.seen)
 
-        def split(df: DataFrame) -> Ingested:
-            lines = _split_over_long(df, source)
-            kept, no_id = reject_missing_identity(lines.frame, source, "employee_id")
-            return Ingested(align_employees(kept, source), lines.rejects.unionByName(no_id))
 
-        return require_columns(raw, source, split)
+def read_hris_csv(spark: SparkSession, path: str, folder: str | None = None) -> Ingested:
+    """Employee CSV: over-long lines are rejected, short ones padded with null."""
+    source = "globaltech_hris"
+    folder = folder or stage_folder(spark)
 
-    return guarded_read(spark, source, path, read)
+    def read() -> Ingested:
+        raw = _read_csv(spark, path, "UTF-8", NULL_TOKENS, folder)
+        return require_columns(
+            raw, source, lambda df: _employee_table(df, source, folder, [_no_identity("employee_id")])
+        )
 
+    return guarded_read(spark, source, path, read)
 
-def json_elements(spark: SparkSession, path: str, array: str, extra: str) -> DataFrame:
-    """One row per element of a top-level array, as raw JSON text, plus the ``extra`` fields.
 
-    The unit of work is one document, so large exports should land as many files.
-    """
-    ddl = f"{extra}, `{array}` array<string>, {_CORRUPT} string"
-    docs = spark.read.schema(ddl).json(path, multiLine=True, mode="PERMISSIVE")
-    return docs.select("*", F.col("_metadata.file_path").alias("_file"))
-
-
-def _positioned_elements(docs: DataFrame, array: str) -> DataFrame:
-    return spread(docs.select("_file", F.posexplode(array).alias("_pos", "element"))).select(
-        "element",
-        F.struct(
-            F.col("_file").alias("file"),
-            F.lit(0).cast("bigint").alias("block"),
-            F.col("_pos").cast("bigint").alias("row"),
-        ).alias(POSITION),
-    )
+def _position() -> Column:
+    return F.struct(
+        F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_pos").alias("row")
+    ).alias(POSITION)
 
 
 def truthy(element: Column, key: str) -> Column:
@@ -219,175 +206,137 @@ def truthy(element: Column, key: str) -> Column:
     return F.coalesce(~falsy, F.lit(False)) & value.isNotNull()
 
 
-def read_hris_json(spark: SparkSession, path: str) -> Ingested:
+_JSON_PATHS = {
+    "employee_identifier": "$.employee_identifier",
+    "name_first": "$.name.first",
+    "name_last": "$.name.last",
+    "contact_email": "$.contact.email",
+    "assignment_department": "$.assignment.department",
+    "assignment_role": "$.assignment.role",
+    "assignment_hire_timestamp": "$.assignment.hire_timestamp",
+    "assignment_location": "$.assignment.location",
+    "employment_type": "$.employment_type",
+    "employment_status": "$.employment_status",
+    "manager_employee_id": "$.manager_employee_id",
+}
+
+
+def checked_elements(elements: DataFrame) -> DataFrame:
+    """Employee elements, parsed and flattened, with the reason and record of bad ones."""
+    document = F.try_parse_json("element")
+    is_object = F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
+    shown = F.when(is_object, F.col("element")).otherwise(
+        F.concat(F.lit('{"raw_value":'), F.coalesce("element", F.lit("null")), F.lit("}"))
+    )
+    bad = ~truthy(F.col("element"), "employee_identifier")
+    marked = mark(elements, [(bad, "Malformed JSON employee or missing employee_identifier")], shown)
+    parsed = F.from_json("element", ACQUIRED_JSON_ELEMENT).alias("e")
+    rest = [c for c in marked.columns if c != "element"]
+    has = [F.try_variant_get(document, p, "variant").isNotNull().alias(f"has_{n}") for n, p in _JSON_PATHS.items()]
+    return flatten_json(marked.select(parsed, *rest, *has).select("e.*", *rest, *(f"has_{n}" for n in _JSON_PATHS)))
+
+
+def read_hris_json(spark: SparkSession, path: str, folder: str | None = None) -> Ingested:
     """Employee JSON export: bad elements are rejected, good ones flattened."""
     source = "acquiredco_hris"
-    key = "employee_identifier"
+    folder = folder or stage_folder(spark)
 
     def read() -> Ingested:
-        docs = json_elements(spark, path, "employees", "total_records bigint")
-        unreadable = docs.where(F.col("employees").isNull()).select(
-            F.lit(source).alias("source_system"),
-            F.lit("Unreadable document or 'employees' is not a list").alias("reason"),
-            F.to_json(F.struct(F.col("_file").alias("filepath"))).alias("raw_record"),
-        )
-        elements = _positioned_elements(docs, "employees")
-        good = truthy(F.col("element"), key)
-        is_object = F.schema_of_variant(F.try_parse_json("element")).startswith("OBJECT")
-        shown = F.when(F.coalesce(is_object, F.lit(False)), F.col("element")).otherwise(
-            F.to_json(F.struct(F.col("element").alias("raw_value")), {"ignoreNullFields": "false"})
-        )
-        rejects = elements.where(~good).select(
+        found = read_array(spark, path, "employees", "total_records bigint", folder)
+        unreadable = found.docs.where(~F.col("readable")).select(
             F.lit(source).alias("source_system"),
-            F.lit("Malformed JSON employee or missing employee_identifier").alias("reason"),
-            shown.alias("raw_record"),
-        )
-        rows = flatten_json(
-            elements.where(good).select(
-                F.from_json("element", ACQUIRED_JSON_ELEMENT).alias("e"), POSITION
-            ).select("e.*", POSITION)
+            F.lit("Unreadable document or 'employees' is not a list").alias(REASON),
+            F.to_json(F.struct(F.col("_file").alias("filepath"))).alias(RAW),
         )
-        present = _present_json_columns(elements.where(good))
-        seen = rows.select(*(c for c in rows.columns if c in present or c == POSITION))
-        read_rows = require_columns(
+        marked = checked_elements(found.elements.select("element", _position()))
+        got = written(marked, source, folder, **{n: F.col(f"has_{n}") for n in _JSON_PATHS})
+        # with no good element at all there is nothing to miss
+        present = {n for n in _JSON_PATHS if got.seen[n] or got.seen[n] is None}
+        good = got.good.drop(*(f"has_{n}" for n in _JSON_PATHS))
+        seen = good.select(*(c for c in good.columns if c in present or c == POSITION))
+        rows = require_columns(
             seen, source, lambda df: Ingested(align_employees(df, source), no_rejects(spark))
         )
-        return Ingested(read_rows.frame, union_sources([unreadable, rejects, read_rows.rejects]))
+        rejects = union_sources([unreadable, got.rejects, rows.rejects])
+        return Ingested(rows.frame, rejects, got.seen, reconcile_count(found.docs))
 
     return guarded_read(spark, source, path, read)
 
 
-def _present_json_columns(elements: DataFrame) -> set[str]:
-    """Flattened names that at least one element has, found in one aggregate."""
-    paths = {
-        "employee_identifier": "$.employee_identifier",
-        "name_first": "$.name.first",
-        "name_last": "$.name.last",
-        "contact_email": "$.contact.email",
-        "assignment_department": "$.assignment.department",
-        "assignment_role": "$.assignment.role",
-        "assignment_hire_timestamp": "$.assignment.hire_timestamp",
-        "assignment_location": "$.assignment.location",
-        "employment_type": "$.employment_type",
-        "employment_status": "$.employment_status",
-        "manager_employee_id": "$.manager_employee_id",
-    }
-    document = F.try_parse_json("element")
-    flags = elements.agg(
-        *(
-            F.bool_or(F.try_variant_get(document, path, "variant").isNotNull()).alias(name)
-            for name, path in paths.items()
-        )
-    ).first()
-    # with no element at all there is nothing to miss
-    return {n for n in paths if flags[n] or flags[n] is None}
-
-
-def reconcile_count(docs: DataFrame, array: str = "employees") -> DataFrame:
+def reconcile_count(docs: DataFrame) -> DataFrame:
     """Documents whose stated total differs from their number of elements."""
-    actual = F.size(array).cast("bigint")
-    return docs.where(F.col("total_records") != actual).select(
-        F.col("_file").alias("file"), "total_records", actual.alias("actual_records")
+    return docs.where(F.col("total_records") != F.col("actual_records")).select(
+        F.col("_file").alias("file"), "total_records", "actual_records"
     )
 
 
 def read_payroll(
-    spark: SparkSession, path: str, rules: EmployeeRules, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    rules: EmployeeRules,
+    fmt: str = "parquet",
+    folder: str | None = None,
 ) -> Ingested:
     """Payroll table in Parquet or CSV; missing ids and unknown companies rejected (S3).
 
     Lines of a CSV with more cells than its header are rejected too.
     """
     source = "payroll"
+    folder = folder or stage_folder(spark)
 
     def read() -> Ingested:
         if fmt == "csv":
-            raw = _read_csv_strings(spark, path, False, "UTF-8", NULL_TOKENS)
+            raw = _read_csv(spark, path, "UTF-8", NULL_TOKENS, folder)
         else:
             raw = spark.read.format(fmt).load(path).select("*", _row_position())
 
-        def split(df: DataFrame) -> Ingested:
-            lines = _split_over_long(df, source) if fmt == "csv" else Ingested(df, no_rejects(spark))
-            kept, no_id = reject_missing_identity(lines.frame, source, "employee_id")
-            kept, no_company = reject_unknown_origin(kept, source, "source", rules.companies)
-            rejects = union_sources([lines.rejects, no_id, no_company])
-            return Ingested(align_employees(kept, source), rejects)
+        def check(df: DataFrame) -> Ingested:
+            # null and padded company texts fail too
+            known = F.coalesce(F.col("source").isin(*rules.companies), F.lit(False))
+            checks = [_no_identity("employee_id"), (~known, "Unknown payroll company source")]
+            return _employee_table(df, source, folder, checks)
 
-        return require_columns(raw, source, split)
+        return require_columns(raw, source, check)
 
     return guarded_read(spark, source, path, read)
 
 
-def parse_enrolments(df: DataFrame, column: str) -> DataFrame:
-    """Enrolment elements held as text in a column, as their fields."""
-    ddl = ", ".join(f"{f} string" for f in REQUIRED_COLUMNS["benefits"])
-    return df.select(F.from_xml(column, ddl).alias("e")).select("e.*")
-
-
-def split_enrolments(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(enrolments with trimmed fields, rejects without an employee or a plan)."""
-    fields = REQUIRED_COLUMNS["benefits"]
-    rest = [F.col(c) for c in rows.columns if c not in fields]
-    trimmed = rows.select(*(F.nullif(strip(F.col(f)), F.lit("")).alias(f) for f in fields), *rest)
-    return split_off(
-        trimmed,
-        F.col("employee_id").isNull() | F.col("plan_type").isNull(),
-        "benefits",
-        "Malformed enrollment or missing employee_id/plan_type",
-    )
-
-
-def _xml_tags(spark: SparkSession, path: str) -> list[str]:
-    """Child tags that at least one enrolment has, empty ones too; one pass over the files."""
-    reader = spark.read.format("xml").option("rowTag", "enrollment").option("inferSchema", False)
-    names = reader.option("columnNameOfCorruptRecord", _CORRUPT).load(path).columns
-    return [n for n in names if n != _CORRUPT]
-
-
-def read_benefits_xml(spark: SparkSession, path: str) -> Ingested:
+def read_benefits_xml(spark: SparkSession, path: str, folder: str | None = None) -> Ingested:
     """Enrolment elements; a file with a broken element is left out as a whole.
 
-    Where there are enrolments but no element has one of the required tags, the source is one
-    reject and an empty frame (S11).
+    A rejected element keeps all its child tags. Where there are enrolments but no element has
+    one of the required tags, the source is one reject and an empty frame (S11).
     """
     source = "benefits"
     fields = REQUIRED_COLUMNS[source]
+    folder = folder or stage_folder(spark)
 
     def read() -> Ingested:
-        ddl = ", ".join(f"{f} string" for f in fields) + f", {_CORRUPT} string"
-        parsed = (
-            spark.read.format("xml")
-            .option("rowTag", "enrollment")
-            .option("columnNameOfCorruptRecord", _CORRUPT)
-            .schema(ddl)
-            .load(path)
-            .select("*", _row_position())
-        )
-        # Spark does not answer a query on the corrupt-record column alone, so the test also
-        # names a field; it holds for every corrupt record
-        broken = (
-            parsed.where(F.col(_CORRUPT).isNotNull())
-            .where(F.coalesce("employee_id", _CORRUPT).isNotNull())
-            .select(F.col(f"{POSITION}.file").alias("_file"))
-            .distinct()
-        )
-        failures = broken.select(
+        found = read_elements(spark, path, "enrollment", folder)
+        failures = spark.createDataFrame([(f,) for f in found.broken], "filepath string").select(
             F.lit(source).alias("source_system"),
-            F.lit("ParseError: malformed XML document").alias("reason"),
-            F.to_json(F.struct(F.col("_file").alias("filepath"))).alias("raw_record"),
+            F.lit("ParseError: malformed XML document").alias(REASON),
+            F.to_json(F.struct("filepath")).alias(RAW),
         )
-        whole = parsed.join(broken, parsed[POSITION]["file"] == broken["_file"], "left_anti")
-        kept, bad = split_enrolments(whole.drop(_CORRUPT))
-        rejects = failures.unionByName(bad)
-        tags = _xml_tags(spark, path)
-        missing = sorted(set(fields) - set(tags))
+        record = F.col("record")
+        rows = found.rows.select(*(record[f].alias(f) for f in fields), F.col("_pos").alias(POSITION), "record")
+        lost = F.col("employee_id").isNull() | F.col("plan_type").isNull()
+        why = "Malformed enrollment or missing employee_id/plan_type"
+        marked = mark(rows, [(lost, why)], F.to_json(record, _WITH_NULLS))
+        flags = {f: F.map_contains_key(record, f) for f in fields}
+        kept = marked.withColumns({f"has_{f}": flag for f, flag in flags.items()}).drop("record")
+        got = written(kept, source, folder, **{f: F.col(f"has_{f}") for f in fields})
+        rejects = failures.unionByName(got.rejects)
+        good = got.good.drop(*(f"has_{f}" for f in fields))
+        missing = sorted(f for f in fields if got.seen[f] is False)
         if not missing:
-            return Ingested(align_employees(kept, source), rejects)
-        available = F.array(*map(F.lit, tags)).cast("array<string>").alias("available_columns")
-        lost = _source_failure(
-            spark, source, f"Missing required columns: {missing}", F.struct(available), kept
+            return Ingested(align_employees(good, source), rejects, got.seen)
+        tags = found.rows.select(F.explode(F.map_keys(record)).alias("tag")).distinct().collect()
+        available = F.array(*(F.lit(r.tag) for r in tags)).cast("array<string>").alias("available_columns")
+        failed = _source_failure(
+            spark, source, f"Missing required columns: {missing}", F.struct(available), good
         )
-        return Ingested(lost.frame, rejects.unionByName(lost.rejects))
+        return Ingested(failed.frame, rejects.unionByName(failed.rejects), got.seen)
 
     return guarded_read(spark, source, path, read)
 
@@ -397,43 +346,48 @@ def ingest_employees(
     paths: Mapping[str, str],
     rules: EmployeeRules,
     payroll_format: str = "parquet",
-    multi_line: bool = True,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Every employee source by name, and all their rejects."""
-    readers = {
-        "globaltech_hris": lambda p: read_hris_csv(spark, p, multi_line),
-        "acquiredco_hris": lambda p: read_hris_json(spark, p),
-        "payroll": lambda p: read_payroll(spark, p, rules, payroll_format),
-        "benefits": lambda p: read_benefits_xml(spark, p),
+    folder: str | None = None,
+) -> dict[str, Ingested]:
+    """Every employee source by name, each parsed once."""
+    folder = folder or stage_folder(spark)
+    return {
+        "globaltech_hris": read_hris_csv(spark, paths["globaltech_hris"], folder),
+        "acquiredco_hris": read_hris_json(spark, paths["acquiredco_hris"], folder),
+        "payroll": read_payroll(spark, paths["payroll"], rules, payroll_format, folder),
+        "benefits": read_benefits_xml(spark, paths["benefits"], folder),
     }
-    read = {name: reader(paths[name]) for name, reader in readers.items()}
-    frames = {name: got.frame for name, got in read.items()}
-    return frames, union_sources(got.rejects for got in read.values())
+
+
+TEST_ACCOUNT = "Test account"
 
 
 def read_website(
-    spark: SparkSession, path: str, rules: CustomerRules, multi_line: bool = True
+    spark: SparkSession, path: str, rules: CustomerRules, folder: str | None = None
 ) -> Ingested:
-    """Latin-1 customer CSV without its test accounts (S5); over-long lines are rejected.
+    """Latin-1 customer CSV without its test accounts (S5, P6); over-long lines are rejected.
 
-    ``multi_line`` is that of ``read_hris_csv``.
+    Test accounts are no rejects; ``seen`` has their number.
     """
-    raw = _read_csv_strings(spark, path, multi_line, "ISO-8859-1", WEBSITE_NULL_TOKENS)
-    lines = _split_over_long(raw, "website")
-    names = normalize_headers(c for c in lines.frame.columns if c != POSITION)
-    renamed = lines.frame.toDF(*names, POSITION).withColumnsRenamed(
-        {"customeremail": "email", "optout": "opt_out"}
-    )
-    dated = renamed.withColumn("registration_date", iso_timestamp(F.col("registration_date")))
-    real = drop_test_accounts(dated, rules.test_account_pattern)
-    return Ingested(align_customers(real.withColumn("source", F.lit("website"))), lines.rejects)
-
-
-def read_website_csv(
-    spark: SparkSession, path: str, rules: CustomerRules, multi_line: bool = True
-) -> DataFrame:
+    folder = folder or stage_folder(spark)
+    raw = _read_csv(spark, path, "ISO-8859-1", WEBSITE_NULL_TOKENS, folder)
+    record = _raw_record(raw)
+    cells = [c for c in raw.columns if c not in _BESIDE]
+    beside = [c for c in raw.columns if c in _BESIDE]
+    names = normalize_headers(cells)
+    renamed = raw.select(*cells, *beside, record.alias("_record")).toDF(*names, *beside, "_record")
+    renamed = renamed.withColumnsRenamed({"customeremail": "email", "optout": "opt_out"})
+    is_test = F.col("email").rlike(rules.test_account_pattern)
+    marked = mark(renamed, [*_too_long(renamed), (is_test, TEST_ACCOUNT)], F.col("_record"))
+    marked = marked.withColumn("_test", F.col(REASON).eqNullSafe(TEST_ACCOUNT)).drop(_LINE, _TOO_LONG, "_record")
+    got = written(marked, "website", folder, counts={"test_accounts": F.count_if("_test")})
+    dated = got.good.withColumn("registration_date", iso_timestamp(F.col("registration_date")))
+    frame = align_customers(dated.drop("_test").withColumn("source", F.lit("website")))
+    return Ingested(frame, got.rejects.where(F.col(REASON) != TEST_ACCOUNT), got.seen)
+
+
+def read_website_csv(spark: SparkSession, path: str, rules: CustomerRules) -> DataFrame:
     """The rows of ``read_website``."""
-    return read_website(spark, path, rules, multi_line).frame
+    return read_website(spark, path, rules).frame
 
 
 def customer_elements(elements: DataFrame) -> DataFrame:
@@ -455,31 +409,35 @@ def customer_elements(elements: DataFrame) -> DataFrame:
     return align_customers(ready)
 
 
-def read_crm_json(spark: SparkSession, path: str) -> DataFrame:
+def read_crm_json(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
     """Customer JSON export."""
-    docs = json_elements(spark, path, "customers", "total_pages int")
-    return customer_elements(_positioned_elements(docs, "customers"))
+    found = read_array(spark, path, "customers", "total_pages int", folder)
+    return customer_elements(found.elements.select("element", _position()))
 
 
 def pages_to_read(pages: DataFrame) -> DataFrame:
-    """Pages that a client would have fetched one after the other.
+    """Pages (page, actual_records, total_pages) that a client would have fetched in turn.
 
     Reading stops before an empty page, and after a page whose successor is past the total
     it states (one page when it states none). The first stop is a single number.
     """
-    is_empty = F.coalesce(F.size("customers"), F.lit(0)) <= 0
+    is_empty = F.coalesce("actual_records", F.lit(0)) <= 0
     stated = F.coalesce("total_pages", F.lit(1)).cast("bigint")
     stops = F.when(is_empty, F.col("page")).when(F.col("page") + 1 > stated, F.col("page") + 1)
-    first_stop = pages.agg(F.min(stops).alias("stop")).first()["stop"]
-    return pages if first_stop is None else pages.where(F.col("page") < first_stop)
+    # one row; without a stop all pages are read
+    first = pages.agg(F.min(stops).alias("stop"))
+    return pages.join(F.broadcast(first), F.col("stop").isNull() | (F.col("page") < F.col("stop"))).drop("stop")
 
 
-def read_paged_json(spark: SparkSession, path: str, page_pattern: str = r"(\d+)\D*$") -> DataFrame:
+def read_paged_json(
+    spark: SparkSession, path: str, page_pattern: str = r"(\d+)\D*$", folder: str | None = None
+) -> DataFrame:
     """Landed page files of a paged service (S8); the last number of the name is the page."""
-    docs = json_elements(spark, path, "customers", "total_pages int")
+    found = read_array(spark, path, "customers", "total_pages int", folder)
     page = F.regexp_extract(F.element_at(F.split("_file", "/"), -1), page_pattern, 1)
-    kept = pages_to_read(docs.withColumn("page", page.cast("bigint")))
-    return customer_elements(_positioned_elements(kept, "customers"))
+    kept = pages_to_read(found.docs.withColumn("page", page.cast("bigint"))).select("_file")
+    # one row per page file
+    return customer_elements(found.elements.join(kept, "_file").select("element", _position()))
 
 
 def fixed_width(df: DataFrame, layout: Sequence[tuple[str, int, int]]) -> DataFrame:
@@ -513,17 +471,24 @@ def read_erp_fixed_width(spark: SparkSession, path: str) -> DataFrame:
     return erp_customers(fixed_width(lines, ERP_LAYOUT))
 
 
+def ingest_customer_sources(
+    spark: SparkSession, paths: Mapping[str, str], rules: CustomerRules, folder: str | None = None
+) -> dict[str, Ingested]:
+    """Every customer source by name, each parsed once."""
+    folder = folder or stage_folder(spark)
+    nothing = no_rejects(spark)
+    return {
+        "website": read_website(spark, paths["website"], rules, folder),
+        "crm": Ingested(read_crm_json(spark, paths["crm"], folder), nothing),
+        "erp": Ingested(read_erp_fixed_width(spark, paths["erp"]), nothing),
+    }
+
+
 def ingest_customers(
     spark: SparkSession, paths: Mapping[str, str], rules: CustomerRules
 ) -> DataFrame:
-    """All customer sources in one frame."""
-    return union_sources(
-        [
-            read_website_csv(spark, paths["website"], rules),
-            read_crm_json(spark, paths["crm"]),
-            read_erp_fixed_width(spark, paths["erp"]),
-        ]
-    )
+    """All customer sources in one frame."""
+    return union_sources(got.frame for got in ingest_customer_sources(spark, paths, rules).values())
 
 
 def read_golden(spark: SparkSession, path: str, company: str | None = None) -> DataFrame:

@@ -134,6 +134,10 @@ def test_customer_job(spark, customer_rules, tmp_path):
         "Al", "Bee", "US", "+15551234567", True, "crm,website,erp", 3)
     assert spark.read.csv(out["quality_report"], header=True).count() == 7
     assert spark.read.csv(out["csv"], header=True).count() == 6
+    lines = {r.metric: int(r.value) for r in spark.read.csv(out["run_summary"], header=True).collect()}
+    assert {k: v for k, v in lines.items() if not k.startswith("checks:")} == {
+        "website": 3, "crm": 2, "erp": 3, "customer_records": 8, "golden_customers": 6, "test_accounts_removed": 1}
+    assert sum(v for k, v in lines.items() if k.startswith("checks:")) == 7
 
 
 def test_clean_runs_on_a_stream(spark, customer_rules, tmp_path):
