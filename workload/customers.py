@@ -7,15 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.config import ACQUIRED_JSON_ELEMENT, CUSTOMER_SCHEMA, ERP_LAYOUT, POSITION
+from recordloom.config import CUSTOMER_SCHEMA, ERP_LAYOUT, POSITION
 from recordloom.functions import text
 from recordloom.operators import clean, profile, quality, quarantine, resolve
+from recordloom.plans.staging import stage_folder
 from recordloom.sources import readers
 from recordloom.sources.align import align_customers, align_employees, flatten_json, union_sources
 from workload import oracle as o
 from workload.employees import report_sql
 from workload.inputs import CUSTOMER_RULES as RULES
-from workload.inputs import source, table
+from workload.inputs import source, table, write_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -214,11 +215,10 @@ _ELEMENT = """CASE s_suppkey % 12 WHEN 0 THEN 'plain text' WHEN 1 THEN '17' WHEN
     "'N' || CAST(s_nationkey AS STRING) AS country, 'AcquiredCo' AS company_origin FROM supplier WHERE s_suppkey % 12 > 5",
 )
 def s_json_elements(spark, sf):
-    """Elements of an export, checked, parsed and flattened."""
-    elements = table(spark, sf, "supplier").selectExpr(f"{_ELEMENT} AS element")
-    good = elements.where(readers.truthy(F.col("element"), "employee_identifier"))
-    rows = flatten_json(good.select(F.from_json("element", ACQUIRED_JSON_ELEMENT).alias("e")).select("e.*"))
-    return align_employees(rows, "acquiredco_hris").select("employee_id", "first_name", "last_name", "email", "country", "company_origin")
+    """Elements of an export, checked, parsed and flattened."""
+    rows = readers.checked_elements(table(spark, sf, "supplier").selectExpr(f"{_ELEMENT} AS element"))
+    good = rows.where(F.col("reason").isNull())
+    return align_employees(good, "acquiredco_hris").select("employee_id", "first_name", "last_name", "email", "country", "company_origin")
 
 
 _LINE = "lpad(CAST(c_custkey AS STRING), 10, ' ') || rpad(c_mktsegment || ' de ' || c_name, 50, ' ') || rpad('User' || CAST(c_custkey AS STRING) || '@x.com', 60, ' ') || " \
@@ -258,42 +258,45 @@ def s_over_long(spark, sf):
     "substr(CAST(o_orderdate AS STRING), 1, 10) AS benefit_enrollment_date, o_totalprice AS premium_employee FROM orders WHERE o_orderkey % 7 <> 0",
 )
 def s_xml_elements(spark, sf):
-    """Enrolment elements, checked and aligned."""
+    """Enrolment elements of written files, checked and aligned."""
     elements = table(spark, sf, "orders").selectExpr(
         "'<enrollment><employee_id>' || CASE WHEN o_orderkey % 7 = 0 THEN ' ' ELSE CAST(o_orderkey AS STRING) END || '</employee_id><plan_type> ' || o_orderpriority || "
         "'</plan_type><coverage_level>' || CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE o_orderstatus END || '</coverage_level><enrollment_date>' || "
         "substr(CAST(o_orderdate AS STRING), 1, 10) || '</enrollment_date><premium_employee>' || CAST(o_totalprice AS STRING) || "
         "'</premium_employee><premium_employer></premium_employer></enrollment>' AS element"
     )
-    kept, _ = readers.split_enrolments(readers.parse_enrolments(elements, "element"))
-    rows = align_employees(kept, "benefits")
+    folder = stage_folder(spark)
+    path = write_documents(elements.toDF("value"), f"{folder}/in", "<benefits>", "", "</benefits>")
+    rows = readers.read_benefits_xml(spark, path, folder).frame
     return rows.select(
         "employee_id", "benefit_plans", "benefit_coverage_level", "benefit_enrollment_date", F.col("premium_employee").cast("double").alias("premium_employee")
     )
 
 
+_LAST_PAGE = "CAST(floor(max(s_suppkey) / 28) AS BIGINT) * 3 + 1"
+
+
 @add(
     "s_paged",
     "SELECT CAST(s_suppkey AS STRING) || '@x.com' AS email, page FROM (SELECT *, CAST(floor(s_suppkey / 7) AS BIGINT) + 1 AS page FROM supplier) "
-    "WHERE page < 9 AND s_suppkey % 7 < 6",
+    f"WHERE page < (SELECT {_LAST_PAGE} FROM supplier) AND s_suppkey % 7 < 6",
 )
 def s_paged(spark, sf):
-    """Pages up to the first empty one; page 9 is empty."""
-    rows = table(spark, sf, "supplier").selectExpr(
-        "CAST(floor(s_suppkey / 7) AS BIGINT) + 1 AS page", "CASE WHEN s_suppkey % 7 < 6 THEN CAST(s_suppkey AS STRING) || '@x.com' END AS email"
-    )
-    pages = rows.groupBy("page").agg(
-        F.collect_list(F.when(F.col("page") != 9, F.col("email"))).alias("customers"), F.lit(1000000).alias("total_pages")
-    )
-    kept = readers.pages_to_read(pages)
-    return kept.select(F.explode("customers").alias("email"), "page")
+    """Pages up to the first empty one, which lies at three quarters of all."""
+    suppliers = table(spark, sf, "supplier")
+    rows = suppliers.selectExpr("CAST(floor(s_suppkey / 7) AS BIGINT) + 1 AS page", "CASE WHEN s_suppkey % 7 < 6 THEN CAST(s_suppkey AS STRING) || '@x.com' END AS email")
+    empty = suppliers.agg(F.expr(_LAST_PAGE).alias("empty"))  # one row
+    there = rows.join(F.broadcast(empty)).withColumn("email", F.when(F.col("page") != F.col("empty"), F.col("email")))
+    pages = there.groupBy("page").agg(F.count("email").alias("actual_records"), F.lit(1 << 40).alias("total_pages"))
+    kept = readers.pages_to_read(pages).select("page")
+    return there.join(kept, "page").where("email IS NOT NULL").select("email", "page")
 
 
 @add("s_count", "SELECT file, total_records, actual_records FROM (SELECT 'customer ' || CAST(o_custkey AS STRING) AS file, CAST(10 AS BIGINT) AS total_records, count(*) AS actual_records FROM orders GROUP BY o_custkey) WHERE total_records <> actual_records")
 def s_count(spark, sf):
     """Stated against actual number of elements."""
-    docs = table(spark, sf, "orders").groupBy("o_custkey").agg(F.collect_list(F.col("o_orderkey").cast("string")).alias("employees"))
-    stated = docs.selectExpr("'customer ' || CAST(o_custkey AS STRING) AS _file", "CAST(10 AS BIGINT) AS total_records", "employees")
+    docs = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("actual_records"))
+    stated = docs.selectExpr("'customer ' || CAST(o_custkey AS STRING) AS _file", "CAST(10 AS BIGINT) AS total_records", "actual_records")
     return readers.reconcile_count(stated)
 
 

@@ -203,10 +203,11 @@ def f_taxonomy(spark, sf):
     )
 
 
-@add("f_unknown_types", o.query("SELECT s.employment_type, count(*) AS record_count FROM std_globaltech_hris s WHERE s.employment_type = 'temp' GROUP BY 1"))
+@add("f_unknown_types", o.query("SELECT employment_type, count(*) AS record_count FROM (SELECT employment_type FROM std_globaltech_hris UNION ALL SELECT employment_type FROM std_acquiredco_hris) WHERE employment_type = 'temp' GROUP BY 1"))
 def f_unknown_types(spark, sf):
-    """texts the map does not know."""
-    return clean.unknown_employment_types(aligned(spark, sf)["globaltech_hris"], RULES)
+    """texts of both HR sources that the map does not know."""
+    frames = aligned(spark, sf)
+    return clean.unknown_employment_types(union_sources([frames[n] for n in HRIS]), RULES)
 
 
 @add("f_money", o.query("SELECT _position AS row_id, base_salary, currency, pay_frequency, salary_usd_annual FROM cln_payroll"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.config import CustomerRules, EmployeeRules
@@ -174,3 +175,21 @@ def source_sql(name: str) -> str:
     origin, columns = SOURCES[name]
     cells = ", ".join(f"{e.replace('{NTZ}', 'TIMESTAMP')} AS {c}" for c, e in columns.items())
     return f"SELECT {cells} FROM {origin}"
+
+
+def write_documents(values: DataFrame, path: str, first: str, between: str, last: str) -> str:
+    """One text file per partition: its ``value`` texts with something before, between and after."""
+
+    def document(batches):
+        lead = first
+        for batch in batches:
+            texts = []
+            for value in batch.column(0).to_pylist():
+                texts.append(lead + value)
+                lead = between
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+        end = last if lead == between else first + last
+        yield pa.RecordBatch.from_arrays([pa.array([end])], names=["value"])
+
+    values.mapInArrow(document, "value string").write.text(path)
+    return path
