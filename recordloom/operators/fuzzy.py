@@ -33,6 +33,7 @@ from recordloom.operators.skew import grid_join
 _DAY_MICROS = 86_400_000_000
 _SLOTS = 64  # one bit of a bigint per slot
 _CELLS_PER_TASK = 20_000
+_RATE = 64  # one name in so many is counted to find crowded pieces
 
 _CELL = ("bucket", "class", "name")
 
@@ -150,7 +151,10 @@ def _matching_cells(cells: DataFrame, rules: EmployeeRules) -> DataFrame:
     t = rules.fuzzy_threshold
     outsiders = F.lit(len(rules.companies) + 1)
     left, right = _left_pieces(cells, t), _right_pieces(cells, t)
-    met = grid_join(left, right, "piece", _CELLS_PER_TASK).where(
+    # the pieces of one name in _RATE show which pieces are crowded; all of a name's cells are in
+    some = cells.where(F.pmod(F.xxhash64("name"), F.lit(_RATE)) == 0)
+    samples = _left_pieces(some, t), _right_pieces(some, t)
+    met = grid_join(left, right, "piece", _CELLS_PER_TASK, samples, _RATE).where(
         (F.col("left_class") != F.col("right_class")) | (F.col("left_class") == outsiders)
     )
     total = F.length("left_name") + F.length("right_name")

@@ -34,7 +34,14 @@ def _place(df: DataFrame, hot: DataFrame, key: str, own: str, other: str, cell:
     return df.join(hot, key, "left").select(key, *cols, mine.alias(cell[0]), repeated.alias(cell[1]))
 
 
-def grid_join(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+def grid_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    rows_per_task: int,
+    samples: tuple[DataFrame, DataFrame] | None = None,
+    rate: int = 1,
+) -> DataFrame:
     """Inner join on ``key`` with the same rows as a plain join.
 
     A key with ``m`` rows on the left and ``n`` on the right is ``m * n`` comparisons. When
@@ -42,10 +49,14 @@ def grid_join(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -
     line of it and is repeated along the columns, a right row the other way round, so each
     pair meets in exactly one cell.
 
+    Keys are counted in ``samples`` of both sides where these are given, one row in ``rate`` of
+    each, because making the rows again only to count them can cost as much as the join. The
+    counts decide only how work is cut, never which rows meet.
+
     The plan is one at every size and stays lazy: hot keys are counted as part of it, and
     adaptive execution chooses how to join the counted table from its measured size.
     """
-    hot = hot_keys(left, right, key, rows_per_task)
+    hot = hot_keys(*(samples or (left, right)), key, max(rows_per_task // rate, 1))
     lines = _place(left, hot, key, "_lines", "_columns", ("_line", "_column"))
     columns = _place(right, hot, key, "_columns", "_lines", ("_column", "_line"))
     return lines.join(columns, [key, "_line", "_column"]).drop("_line", "_column")

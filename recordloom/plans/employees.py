@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +79,9 @@ COLUMN_DESCRIPTIONS: Mapping[str, str] = {
 }
 
 
+_RESOLVED_BY = (
+    "employee_id", "email", "company_origin", "source_system", "source_systems", "dedup_method"
+)
 DEDUP_METHODS = ("exact_id", "email_match", "single_source")
 
 
@@ -96,16 +99,22 @@ def resolve_employees(
     rules: EmployeeRules,
     folder: str | None = None,
     counts: Counts | None = None,
+    columns: Collection[str] = (),
 ) -> Resolved:
     """Exact ids, ghosts and e-mail merge (R2); pairs for review come from the employees.
 
     With a ``folder`` the employees are written after the exact-id and after the e-mail
     step, because both results are read several times; without one the plan stays lazy.
+    Where ``columns`` are given only these, and those that resolution itself reads, are
+    worked out and written.
     """
     source_frames(frames)
     keep = (lambda df, name: staged(df, folder, name)) if folder else (lambda df, name: df)
     hris = union_sources([frames["globaltech_hris"], frames["acquiredco_hris"]])
-    exact = keep(match_exact_ids(hris, frames["payroll"], frames["benefits"], rules), "exact")
+    matched = match_exact_ids(hris, frames["payroll"], frames["benefits"], rules)
+    if columns:
+        matched = matched.select(*(c for c in matched.columns if c in {*columns, *_RESOLVED_BY}))
+    exact = keep(matched, "exact")
     # ids and addresses come from a written table, or else from the plan without enrichment
     spine = exact if folder else collapse_by_id(hris, rules)
     ghosts = detect_ghosts(frames["payroll"], employee_ids(spine))

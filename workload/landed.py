@@ -161,7 +161,7 @@ def s_csv_lines(spark, sf):
 _WEB = "SELECT email, first_name, last_name, phone, region, CASE WHEN regexp_matches(registration_date, '^\\d{{4}}-\\d\\d-\\d\\d$') THEN try_strptime(registration_date, '%Y-%m-%d') END AS registration_date, {opt} AS opt_out, '{name}' AS source FROM real_customers WHERE source = '{name}'"
 
 
-@add("s_website_csv", o.query(_WEB.format(name="website", opt="opt_out").replace(" first_name,", " nullif(first_name, 'nan') AS first_name,")))
+@add("s_website_csv", o.query(_WEB.format(name="website", opt="opt_out").replace(" first_name,", " nullif(first_name, 'nan') AS first_name,").replace(" region,", " nullif(region, 'NA') AS region,")))
 def s_website_csv(spark, sf):
     """Latin-1 customer CSV files without test accounts."""
     heads = {"email": "CustomerEmail", "first_name": "First Name", "last_name": "Last Name", "phone": "Phone", "region": "Region", "registration_date": "Registration Date", "opt_out": "OptOut"}
