@@ -12,9 +12,10 @@ verified by the exact Jaccard similarity of the shingle sets of the whole texts.
 Texts with equal shingle sets are one class and go on as one representative. In every band
 bucket all members are first verified against the smallest. Where that leaves a bucket in
 several components, the best pairs across these, a spanning forest of them, are verified in two
-more rounds, and then all pairs that still lie across and whose registers agree enough. So no
-link between different texts is lost to a hub; pairs inside a component can't change the classes
-and are left out. A large group of near copies costs a few comparisons a copy.
+more rounds. Then the bucket's texts meet in tiles of bounded size: texts whose registers agree
+enough with one of another component are compared by the shingles that they share, and a tile
+gives a spanning forest of its verified links, fewer than its texts. So no link between different
+texts is lost to a hub, and neither candidates nor links grow with the square of a group.
 
 Cases: texts without words (null, empty, blank) are a class of their own each. Shorter texts are
 one shingle. Rows with equal ids share a class; null ids are never linked and are kept. Extra
@@ -40,7 +41,8 @@ BANDS, ROWS = 26, 5
 #: Agreement of registers below which a pair across components isn't verified. At a similarity
 #: of 0.8 a pair agrees in 104 of 130 on average; 86 is four standard deviations below.
 AGREE = 0.66
-TILE = 1024
+TILE = 512  # texts of one side of a tile
+COLUMNS = 2048  # shared shingles counted at a time
 MEMBERS = 512  # texts verified in one group
 
 
@@ -147,51 +149,110 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, similar: float) ->
     return rows.select("group", "role", "id", "text").mapInArrow(_verify(words, similar), "a long, b long")
 
 
-def _across(agree: float, forest: bool):
-    """Pairs of one bucket in different components whose registers agree enough.
+def _agreeing(rows: pa.Table, agree: float) -> np.ndarray:
+    """Agreement of registers between the members of a tile, 0 for pairs across components below ``agree``.
 
-    With ``forest`` only those of a spanning forest that prefers the best agreement: a line a text.
+    Members of one component agree fully: what is connected costs nothing.
     """
+    home = rows.column("component").to_numpy()
+    codes = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(len(home), -1)
+    same = np.zeros((len(home), len(home)), np.float32)
+    for lo in range(0, len(home), 32):
+        same[lo : lo + 32] = (codes[lo : lo + 32][:, None, :] == codes[None, :, :]).mean(2)
+    apart = home[:, None] != home[None, :]
+    same[apart & (same < agree)] = 0
+    same[~apart] = 2
+    return same
+
+
+def _forest(agree: float):
+    """Pairs across components of a spanning forest that prefers the best agreement: a line a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, "cell"):
-            n = rows.num_rows
-            ids, home, chunk = (rows.column(c).to_numpy() for c in ("id", "component", "chunk"))
-            if n < 2 or (home == home[0]).all():
+            n, ids = rows.num_rows, rows.column("id").to_numpy()
+            same = _agreeing(rows, agree)
+            if (same == 2).all():
                 continue
-            codes = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(n, -1)
-            same = np.zeros((n, n), np.float32)
-            for lo in range(0, n, 32):
-                same[lo : lo + 32] = (codes[lo : lo + 32][:, None, :] == codes[None, :, :]).mean(2)
-            apart = home[:, None] != home[None, :]
-            same[apart & (same < agree)] = 0
-            if forest:
-                same[~apart] = 2  # what is connected costs nothing
-                best, by, out = same[0].copy(), np.zeros(n, np.int64), []
-                best[0] = -1
-                for _ in range(n - 1):
-                    at = int(best.argmax())
-                    if 0 < best[at] <= 1:
-                        out.append((by[at], at))
-                    nearer = (same[at] > best) & (best >= 0)
-                    best[nearer], by[nearer] = same[at][nearer], at
-                    best[at] = -1
-                x, y = np.array(out, np.int64).reshape(-1, 2).T
-            else:
-                if chunk.min() != chunk.max():  # two chunks; pairs inside one meet elsewhere
-                    apart &= chunk[:, None] != chunk[None, :]
-                x, y = np.nonzero(np.triu(apart & (same > 0), 1))
-                bands, key = np.array(rows.column("bands").to_pylist(), np.int64), rows.column("key")[0].as_py()
-                shared = bands[x] == bands[y]  # a pair is given by the first bucket that it shares
-                first = bands[x, shared.argmax(1)] == key if len(x) else np.empty(0, bool)
-                x, y = x[first], y[first]
-            x, y = ids[x], ids[y]
+            best, by, out = same[0].copy(), np.zeros(n, np.int64), []
+            best[0] = -1
+            for _ in range(n - 1):
+                at = int(best.argmax())
+                if 0 < best[at] <= 1:
+                    out.append((by[at], at))
+                nearer = (same[at] > best) & (best >= 0)
+                best[nearer], by[nearer] = same[at][nearer], at
+                best[at] = -1
+            x, y = ids[np.array(out, np.int64).reshape(-1, 2).T]
             if len(x):
                 yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
     return run
 
 
+_CLOSE = "cell long, id long, component long"
+
+
+def _close(agree: float):
+    """The members of each tile that agree enough with one of another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, "cell"):
+            same = _agreeing(rows, agree)
+            at = np.flatnonzero(((same > 0) & (same <= 1)).any(1))
+            if len(at):
+                got = rows.select(["cell", "id", "component"]).take(pa.array(at)).combine_chunks()
+                yield from got.to_batches()
+
+    return run
+
+
+def linked(sets: list[np.ndarray], home: np.ndarray, similar: float) -> list[tuple[int, int]]:
+    """A spanning forest, over what ``home`` joins already, of all similar pairs of some sets."""
+    n, size = len(sets), np.array([len(s) for s in sets], np.float64)
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), size.astype(np.int64))
+    common = np.zeros((n, n), np.float32)  # whole numbers, exact up to 2**24
+    shared = np.cumsum(times > 1) - 1
+    keep = times[place] > 1
+    column, owner = shared[place[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    last = int(column[-1]) + 1 if len(column) else 0
+    for lo in range(0, last, COLUMNS):
+        part = slice(*np.searchsorted(column, [lo, lo + COLUMNS]))
+        holds = np.zeros((n, min(COLUMNS, last - lo)), np.float32)
+        holds[owner[part], column[part] - lo] = 1
+        common += holds @ holds.T
+    whole = size[:, None] + size[None, :] - common
+    similar_ = (common >= similar * whole - 1e-9) & (whole > 0)
+    label, out = home.copy(), []
+    for i in range(n):
+        others = np.flatnonzero(similar_[i] & (label != label[i]))
+        while len(others):
+            out.append((i, int(others[0])))
+            label[label == label[others[0]]] = label[i]
+            others = others[label[others] != label[i]]
+    return out
+
+
+def _verify_tiles(words: int, similar: float):
+    """Links between components inside each tile, verified on the texts: fewer than its members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict = {}
+        for rows in runs(batches, "cell"):
+            sets = []
+            for _, texts in textops.chunks(rows.column("text")):
+                sets += map(np.unique, textops.Words(texts, cache).shingles(words))
+            found = linked(sets, rows.column("component").to_numpy(), similar)
+            if found:
+                x, y = rows.column("id").to_numpy()[np.array(found, np.int64).T]
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+
+    return run
+
+
 def _open(crowded: DataFrame, marks: DataFrame, state: DataFrame) -> DataFrame:
     """Members of the buckets that lie in several components, dealt out in tiles."""
     placed = crowded.join(state.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -200,7 +261,7 @@ def _open(crowded: DataFrame, marks: DataFrame, state: DataFrame) -> DataFrame:
     tiles = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
     grid = open_.withColumn("chunk", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     cell = F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other"))
-    grid = grid.select("id", "component", "key", "bands", "registers", "chunk", cell.alias("cell"))
+    grid = grid.select("id", "component", "registers", cell.alias("cell"))
     return grid.repartition(width(crowded.sparkSession), "cell").sortWithinPartitions("cell")
 
 
@@ -218,14 +279,19 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tried = staged(crowded.where("id <> a").select("a", F.col("id").alias("b")).distinct())
     involved = crowded.select("id").distinct()
     texts = staged(slim.join(involved.hint("merge"), "id", "left_semi"))  # one plan at every size
-    marks = staged(reps.select("id", "bands", "registers").dropDuplicates(["id"]).join(involved, "id"))
+    marks = staged(reps.select("id", "registers").dropDuplicates(["id"]).join(involved, "id"))
     state = staged(components(verified(tried, texts, words, similar)))
-    for forest in (True, True, False):  # spanning links join most of what belongs together; then all pairs left
-        across = _open(crowded.select("key", "id"), marks, state).mapInArrow(_across(AGREE, forest), "a long, b long").where("a <> b").distinct()
+    of_state = lambda: state.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    for _ in range(2):  # the likeliest links first; they join most of what belongs together
+        across = _open(crowded.select("key", "id"), marks, state).mapInArrow(_forest(AGREE), "a long, b long").where("a <> b").distinct()
         across = staged(across.join(tried, ["a", "b"], "left_anti"))
         tried = tried.unionAll(across)
-        links = verified(across, texts, words, similar).unionAll(state.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        state = staged(components(links))
+        state = staged(components(verified(across, texts, words, similar).unionAll(of_state())))
+    # then all pairs that are left, inside their tiles: neither pairs nor verified pairs leave them
+    close = staged(_open(crowded.select("key", "id"), marks, state).mapInArrow(_close(AGREE), _CLOSE))
+    tiles = texts.join(close.hint("merge"), "id").repartition(width(spark), "cell").sortWithinPartitions("cell", "id")
+    links = tiles.select("cell", "id", "component", "text").mapInArrow(_verify_tiles(words, similar), "a long, b long")
+    state = staged(components(links.unionAll(of_state())))
     final = components(state.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))))
     got = slim.select("id").join(final.withColumnRenamed("node", "id"), "id", "left")
     home = F.coalesce("component", "id")
