@@ -24,6 +24,8 @@ from recordloom.functions.identity import duplicate_rank, provenance, source_pri
 from recordloom.functions.text import email_key, full_name, opt_out_flag, strip
 
 _SALTS = 16
+#: bytes of one employee's list of plans or levels
+LONGEST_LIST = 1 << 30
 
 
 def nulls_last(c: Column) -> list[Column]:
@@ -81,7 +83,8 @@ def aggregate_benefits(benefits: DataFrame) -> DataFrame:
     come together per employee. The company is one of the columns because the counts then
     have fixed-width buffers, which hash aggregation needs. The list state is therefore the number of different
     (date, plan, level) triples, not the number of rows; the copies come back when the text
-    is put together. Plans on one day are ordered by plan, then level.
+    is put together. Plans on one day are ordered by plan, then level. A list of more than
+    ``LONGEST_LIST`` bytes stops the job with the employee's id.
     """
     label = lambda c: F.coalesce(F.nullif(strip(F.col(c).cast("string")), F.lit("")), F.lit("N/A"))
     date = F.col("benefit_enrollment_date")
@@ -106,8 +109,17 @@ def aggregate_benefits(benefits: DataFrame) -> DataFrame:
     ordered = F.sort_array(F.collect_list(entry))
 
     def joined(part: str) -> Column:
-        repeated = F.transform("entries", lambda e: F.array_repeat(e[part], e["copies"].cast("int")))
-        return F.array_join(F.flatten(repeated), ",")
+        of_one = lambda e: (F.octet_length(e[part]) + 1).cast("bigint") * e["copies"]
+        size = F.aggregate("entries", F.lit(0).cast("bigint"), lambda n, e: n + of_one(e))
+        repeated = F.transform(
+            "entries", lambda e: F.repeat(F.concat(e[part], F.lit(",")), e["copies"].try_cast("int"))
+        )
+        too_long = F.concat(
+            F.lit("the enrolment list of employee "), "employee_id", F.lit(" would have "),
+            size.cast("string"), F.lit(f" bytes, more than {LONGEST_LIST}"),
+        )
+        text = F.regexp_replace(F.array_join(repeated, ""), ",$", "")
+        return F.when(size > LONGEST_LIST, F.raise_error(too_long)).otherwise(text)
 
     return (
         counted.groupBy("employee_id")

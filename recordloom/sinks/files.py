@@ -7,8 +7,10 @@ with the data keeps its partitions.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,20 +93,50 @@ def write_quality_report(report: DataFrame, path: str) -> str:
     return write_review_csv(report, path, single_file=True)
 
 
+_VERSIONS = "number long, folder string"
+
+
+def golden_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The complete versions of a golden table; empty where there is none yet."""
+    try:
+        return spark.read.schema(_VERSIONS).parquet(f"{path}/_versions")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _VERSIONS)
+
+
+def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """Number and folder of the version that readers follow."""
+    latest = golden_versions(spark, path).agg(F.max(F.struct("number", "folder")).alias("v")).first()["v"]
+    return latest and (latest.number, latest.folder)
+
+
 def write_golden(
     employees: DataFrame, path: str, partition: str = "company_origin"
 ) -> str:
-    """Replace the golden table, one folder per company (K7)."""
+    """Replace the golden table, one folder per company (K7).
+
+    A version is written to a folder of its own; only when it is complete a line in
+    ``_versions`` names it, by an append that Spark commits as a whole. A job that is killed
+    while writing leaves the version before in place, for readers that are at work too.
+    ``read_golden`` follows the last line. Older version folders can be deleted.
+    """
     if partition not in employees.columns:
         raise KeyError(f"Golden table needs a {partition} column")
+    spark = employees.sparkSession
+    before = current_version(spark, path)
+    number = before[0] + 1 if before else 1
+    folder = f"version={number}-{uuid.uuid4().hex[:8]}"
     named = employees.fillna("Unknown", [partition])
     (
-        named.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
+        named.write.mode("errorifexists")
         .option("compression", "snappy")
         .partitionBy(partition)
-        .parquet(path)
+        .parquet(f"{path}/{folder}")
     )
+    line = spark.createDataFrame([(number, folder)], _VERSIONS).coalesce(1)
+    line.write.mode("append").parquet(f"{path}/_versions")
     return path
 
 

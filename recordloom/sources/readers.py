@@ -32,6 +32,7 @@ from recordloom.functions.dates import iso_timestamp
 from recordloom.functions.text import is_blank, null_tokens, split_full_name, strip
 from recordloom.operators.quarantine import no_rejects
 from recordloom.plans.staging import stage_folder
+from recordloom.sinks.files import current_version
 from recordloom.sources.align import (
     align_customers,
     align_employees,
@@ -492,6 +493,9 @@ def ingest_customers(
 
 
 def read_golden(spark: SparkSession, path: str, company: str | None = None) -> DataFrame:
-    """The golden table, or the one partition of a company."""
-    golden = spark.read.parquet(path)
+    """The golden table's last complete version, or its one partition of a company."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no complete golden table in {path}")
+    golden = spark.read.parquet(f"{path}/{version[1]}")
     return golden if company is None else golden.where(F.col("company_origin") == company)

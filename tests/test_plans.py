@@ -122,7 +122,23 @@ def test_golden_needs_its_partition_column(spark, tmp_path):
     with pytest.raises(KeyError):
         files.write_golden(spark.range(1), str(tmp_path / "x"))
     path = files.write_golden(spark.createDataFrame([(1, None), (2, "A")], "i int, company_origin string"), str(tmp_path / "y"))
-    assert {r.company_origin for r in spark.read.parquet(path).collect()} == {"Unknown", "A"}
+    assert {r.company_origin for r in read_golden(spark, path).collect()} == {"Unknown", "A"}
+
+
+def test_golden_table_is_replaced_as_a_whole(spark, tmp_path):
+    path, rows = str(tmp_path / "g"), lambda n: spark.range(n).selectExpr("id", "'A' AS company_origin")
+    with pytest.raises(FileNotFoundError):
+        read_golden(spark, path)
+    files.write_golden(rows(3), path)
+    at_work = read_golden(spark, path)
+    # a writer that is killed leaves a folder without a line that names it
+    rows(9).write.partitionBy("company_origin").parquet(f"{path}/version=2-killed")
+    assert read_golden(spark, path).count() == 3
+    with pytest.raises(Exception, match="(?i)broken row"):
+        files.write_golden(spark.range(5).selectExpr("if(id = 4, raise_error('broken row'), id) AS id", "'A' AS company_origin"), path)
+    assert read_golden(spark, path).count() == 3
+    files.write_golden(rows(5), path)
+    assert read_golden(spark, path, "A").count() == 5 and at_work.count() == 3
 
 
 def test_customer_job(spark, customer_rules, tmp_path):

@@ -173,3 +173,23 @@ def test_missing_source_frame():
 def test_unknown_employment_types(spark, rules):
     df = spark.createDataFrame([("temp",), ("temp",), ("FT",), (" ",), (None,)], "employment_type string")
     assert sorted(tuple(r) for r in clean.unknown_employment_types(df, rules).collect()) == [(" ", 1), ("temp", 2)]
+
+
+def test_enrolment_lists_of_many_copies(spark):
+    from recordloom.operators import resolve
+
+    one = (
+        "'1' AS employee_id", "'A' AS company_origin", "timestamp_ntz'2024-01-01' AS benefit_enrollment_date",
+        "'Dental' AS benefit_plans", "CAST(NULL AS STRING) AS benefit_coverage_level", "true AS benefits_enrolled",
+        "CAST(1 AS DECIMAL(18,2)) AS premium_employee", "CAST(1 AS DECIMAL(18,2)) AS premium_employer",
+    )
+    many = spark.range(200_000).selectExpr(*one)
+    row = resolve.aggregate_benefits(many).first()
+    assert row.benefit_plan_count == 200_000 and row.benefit_plans == ",".join(["Dental"] * 200_000)
+    assert row.benefit_coverage_level == ",".join(["N/A"] * 200_000)
+    old, resolve.LONGEST_LIST = resolve.LONGEST_LIST, 1000
+    try:
+        with pytest.raises(Exception, match="list of employee 1 would have 1400000 bytes"):
+            resolve.aggregate_benefits(many).collect()
+    finally:
+        resolve.LONGEST_LIST = old

@@ -273,7 +273,7 @@ def s_xml_elements(spark, sf):
     )
 
 
-_LAST_PAGE = "CAST(floor(max(s_suppkey) / 28) AS BIGINT) * 3 + 1"
+_LAST_PAGE = "CAST(floor(max(s_suppkey) * 3 / 28) AS BIGINT) + 2"
 
 
 @add(
