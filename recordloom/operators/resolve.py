@@ -22,8 +22,10 @@ from recordloom.config import (
 from recordloom.functions.dates import epoch_micros
 from recordloom.functions.identity import duplicate_rank, provenance, source_priority
 from recordloom.functions.text import email_key, full_name, opt_out_flag, strip
+from recordloom.operators.skew import grid_join
 
 _SALTS = 16
+_ROWS_PER_TASK = 1_000_000  # of one address
 #: bytes of one employee's list of plans or levels
 LONGEST_LIST = 1 << 30
 
@@ -299,23 +301,56 @@ def merge_by_email(
     return untouched.select(*employees.columns).unionByName(merged.select(*employees.columns))
 
 
-def dangling_references(df: DataFrame, foreign: str, primary: str) -> DataFrame:
+def consumed_ids(employees: DataFrame, rules: EmployeeRules) -> DataFrame:
+    """(consumed_id, surviving_id) of the e-mail merge, from the rows before it.
+
+    Every id of a merged address but the one that its row keeps is consumed. An address that
+    many rows share is looked up by as many tasks as its rows need.
+    """
+    rows = employees.select(
+        email_key(F.col("email")).alias("_key"), "employee_id", "company_origin", "source_system"
+    ).where(F.col("_key").isNotNull() & F.col("employee_id").isNotNull())
+    order = F.struct(
+        source_priority(F.col("source_system"), rules.source_priority).alias("p"),
+        F.col("company_origin").isNull().alias("n"),
+        F.col("company_origin").alias("c"),
+        F.col("employee_id").alias("id"),
+    )
+    survivors = (
+        rows.groupBy("_key")
+        .agg(
+            F.min("company_origin").alias("low"),
+            F.max("company_origin").alias("high"),
+            F.min(order)["id"].alias("surviving_id"),
+        )
+        .where(F.col("low") != F.col("high"))
+        .select("_key", "surviving_id")
+    )
+    met = grid_join(rows.select("_key", "employee_id"), survivors, "_key", _ROWS_PER_TASK)
+    return (
+        met.where(F.col("employee_id") != F.col("surviving_id"))
+        .select(F.col("employee_id").alias("consumed_id"), "surviving_id")
+        .distinct()
+    )
+
+
+def dangling_references(
+    df: DataFrame, foreign: str, primary: str, aliases: DataFrame | None = None
+) -> DataFrame:
     """One row: non-null foreign keys and how many of them have no primary key.
 
     References are counted per value before the join, so a value that a third of the rows
-    share is one row there.
+    share is one row there. The ``consumed_id`` of ``aliases`` are known keys too.
     """
     counted = (
         df.where(F.col(foreign).isNotNull())
         .groupBy(F.col(foreign).cast("string").alias("_key"))
         .agg(F.count("*").alias("_rows"))
     )
-    known = (
-        df.where(F.col(primary).isNotNull())
-        .select(F.col(primary).cast("string").alias("_key"))
-        .distinct()
-        .withColumn("_known", F.lit(True))
-    )
+    keys = df.where(F.col(primary).isNotNull()).select(F.col(primary).cast("string").alias("_key"))
+    if aliases is not None:
+        keys = keys.unionByName(aliases.select(F.col("consumed_id").alias("_key")))
+    known = keys.distinct().withColumn("_known", F.lit(True))
     joined = counted.join(known, "_key", "left")
     return joined.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"),

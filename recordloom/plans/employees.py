@@ -28,6 +28,7 @@ from recordloom.operators.quality import employee_report, enforce_gate
 from recordloom.operators.quarantine import reject_unformattable_ids
 from recordloom.operators.resolve import (
     collapse_by_id,
+    consumed_ids,
     detect_ghosts,
     employee_ids,
     match_exact_ids,
@@ -92,6 +93,7 @@ class Resolved:
     employees: DataFrame
     ghosts: DataFrame
     probable_matches: DataFrame | None = None
+    crosswalk: DataFrame | None = None
 
 
 def resolve_employees(
@@ -122,7 +124,8 @@ def resolve_employees(
     if counts is not None and folder:
         methods = {f"method:{m}": F.count_if(F.col("dedup_method") == m) for m in DEDUP_METHODS}
         employees = counts.watch(employees, "golden_employees", methods)
-    return Resolved(keep(employees, "employees"), ghosts)
+    merged = keep(employees, "employees")
+    return Resolved(merged, ghosts, crosswalk=consumed_ids(spine, rules))
 
 
 def profile_employees(
@@ -190,7 +193,9 @@ class EmployeeJob:
         ghosts = staged(self.counts.watch(found.ghosts, "ghost_employees"), self.stage, "ghosts")
         files.write_ghosts(ghosts, f"{self.output}/ghost_employees")
         files.write_probable_matches(matches, f"{self.output}/probable_matches")
-        return Resolved(found.employees, ghosts, matches)
+        crosswalk = staged(self.counts.watch(found.crosswalk, "consumed_ids"), self.stage, "crosswalk")
+        files.write_review_csv(crosswalk, f"{self.output}/id_crosswalk")
+        return Resolved(found.employees, ghosts, matches, crosswalk)
 
     def validate(self, employees: DataFrame | None = None, gate: bool = True) -> DataFrame:
         """The report is written before the gate may raise."""
@@ -268,6 +273,7 @@ class EmployeeJob:
         if uncounted:
             seen = seen | {r.metric: r.value for r in run_summary(uncounted, {}).collect()}
         names = [*cleaned, *results, *(f"method:{m}" for m in DEDUP_METHODS if seen.get(f"method:{m}"))]
+        names += [n for n in ("consumed_ids",) if n in seen]
         lines = [(name, seen[name]) for name in names]
         outcomes = Counter(r.status for r in report.select("status").collect())
         lines += [(f"checks:{status}", n) for status, n in sorted(outcomes.items())]

@@ -193,3 +193,17 @@ def test_enrolment_lists_of_many_copies(spark):
             resolve.aggregate_benefits(many).collect()
     finally:
         resolve.LONGEST_LIST = old
+
+
+def test_consumed_ids_lead_to_the_row_that_stays(spark, rules, monkeypatch):
+    monkeypatch.setattr(resolve, "_ROWS_PER_TASK", 3)
+    rows = [(f"AC-{i:06d}", "AcquiredCo", "acquiredco_hris", "hot@x.com") for i in range(40)]
+    rows += [("GT-000001", "GlobalTech", "globaltech_hris", " Hot@X.com"), ("GT-000002", "GlobalTech", "globaltech_hris", "own@x.com"),
+             ("GT-000003", "GlobalTech", "globaltech_hris", "own@x.com"), ("GT-000004", "GlobalTech", "globaltech_hris", None), (None, "GlobalTech", "globaltech_hris", "hot@x.com")]
+    df = spark.createDataFrame(rows, "employee_id string, company_origin string, source_system string, email string").repartition(5)
+    got = {tuple(r) for r in resolve.consumed_ids(df, rules).collect()}
+    assert got == {(f"AC-{i:06d}", "AC-000000") for i in range(1, 40)} | {("GT-000001", "AC-000000")}
+    people = spark.createDataFrame([("AC-000000", "GT-000001"), ("GT-000002", "GT-999999"), ("GT-000003", None)], "employee_id string, manager_id string")
+    aliases = resolve.consumed_ids(df, rules)
+    assert tuple(resolve.dangling_references(people, "manager_id", "employee_id").first()) == (2, 2)
+    assert tuple(resolve.dangling_references(people, "manager_id", "employee_id", aliases).first()) == (2, 1)

@@ -348,6 +348,31 @@ def r_employees(spark, sf):
     return shown(employees(spark, sf)).select(*o.GOLDEN)
 
 
+_CROSSWALK = """SELECT DISTINCT k.employee_id AS consumed_id, s.surviving_id FROM keyed k JOIN (
+    SELECT email_key, arg_min(employee_id, [company_origin, employee_id]) AS surviving_id FROM keyed SEMI JOIN crossing USING (email_key) WHERE employee_id IS NOT NULL GROUP BY 1
+    ) s USING (email_key) WHERE k.employee_id <> s.surviving_id"""
+
+
+@add("j_crosswalk", o.query(_CROSSWALK))
+def j_crosswalk(spark, sf):
+    """Ids consumed by the e-mail merge and the ids that survive."""
+    return resolve.consumed_ids(resolve.collapse_by_id(hris(spark, sf), RULES), RULES)
+
+
+@add(
+    "j_reference_known",
+    o.query(
+        "SELECT count(*) AS total, count(*) FILTER (WHERE manager_id NOT IN (SELECT employee_id FROM employees WHERE employee_id IS NOT NULL UNION ALL SELECT consumed_id FROM crosswalk)) AS failed "
+        "FROM employees WHERE manager_id IS NOT NULL",
+        crosswalk=_CROSSWALK,
+    ),
+)
+def j_reference_known(spark, sf):
+    """References to ids that the e-mail merge consumed are not broken."""
+    found = resolve_employees(cleaned(spark, sf), RULES, stage_folder(spark), columns=("manager_id",))
+    return resolve.dangling_references(found.employees, "manager_id", "employee_id", found.crosswalk)
+
+
 _REFERENCES = """SELECT count(*) AS total, count(*) FILTER (WHERE manager_id NOT IN (SELECT employee_id FROM {t} WHERE employee_id IS NOT NULL)) AS failed
     FROM {t} WHERE manager_id IS NOT NULL"""
 
