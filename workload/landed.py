@@ -223,6 +223,19 @@ def k_golden_customers(spark, sf):
     return spark.read.parquet(out["parquet"])
 
 
+@add("k_stringify", "SELECT o_orderstatus, CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders")
+def k_stringify(spark, sf):
+    """K9: files whose column types differ, read as text and stacked."""
+    folder = stage_folder(spark)
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", "o_custkey")
+    odd = F.col("o_orderkey") % 2 == 1
+    parts = {"wide": orders.where(odd), "narrow": orders.where(~odd).withColumn("o_custkey", F.col("o_custkey").cast("int"))}
+    for name, part in parts.items():
+        part.write.parquet(f"{folder}/{name}")
+    read = [files.stringify(spark.read.parquet(f"{folder}/{n}"), ("o_orderkey", "o_custkey")) for n in parts]
+    return union_sources(read)
+
+
 # --- places of rows ------------------------------------------------------------------
 
 _UNMAPPED = "SELECT source_system, company_origin, department_original, count(*) AS record_count FROM hris WHERE department_unmapped GROUP BY ALL"
