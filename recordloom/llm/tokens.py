@@ -14,8 +14,11 @@ import types
 
 import numpy as np
 
-#: Distinct pieces whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 800_000
+#: Bytes that remembered pieces may take in a worker; beyond it the memory starts anew.
+REMEMBERED = 192 << 20
+#: Longer pieces (text without spaces) are encoded anew each time.
+SHORT = 64
+_EACH = 180  # bytes of the two objects of a piece and of its place in the table, without contents
 #: A space beside these may lie inside a run of white space. All other white space is named too.
 _UNSAFE = ("  ", " \n", " \t", " \r", " \x0b", " \x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0")
 _UNSAFE_WIDE = "                　"
@@ -35,16 +38,26 @@ class Encoder:
         self.opens = np.zeros(max(names.values()) + 1, bool)
         self.opens[[i for name, i in names.items() if name.startswith("Ġ")]] = True
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
-    def learn(self, pieces: list[str]) -> None:
-        """Pieces follow a space in their texts, so joined by spaces they are encoded as there."""
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Pieces follow a space in their texts, so joined by spaces they are encoded as there.
+
+        Short ones are remembered.
+        """
+        found: dict[str, bytes] = {}
         for lo in range(0, len(pieces), self.joined):
             part = pieces[lo : lo + self.joined]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(self.opens[ids])
             if len(at) != len(part):
                 raise AssertionError("a piece holds a space")
-            self.known.update(zip(part, (x.tobytes() for x in np.split(ids, at[1:]))))
+            found.update(zip(part, (x.tobytes() for x in np.split(ids, at[1:]))))
+        for piece, x in found.items():
+            if len(piece) <= SHORT:
+                self.known[piece] = x
+                self.held += _EACH + len(piece) * (1 if piece.isascii() else 4) + len(x)
+        return found
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
@@ -55,8 +68,9 @@ class Encoder:
         return not text.isascii() and any(x in text for x in _UNSAFE_WIDE)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.known.clear()
+            self.held = 0
         get = self.known.get
         cut: list[tuple[int, str, list[str], list]] = []
         out: list[bytes] = [b""] * len(texts)
@@ -74,11 +88,10 @@ class Encoder:
                 missing.update(p for p, x in zip(pieces, ids) if x is None)
                 ids = None
             cut.append((i, head, pieces, ids))
-        if missing:
-            self.learn(sorted(missing))
+        fresh = self.learn(sorted(missing)) if missing else {}
         heads = self.tokenizer.encode_batch_fast([head for _, head, _, _ in cut], add_special_tokens=False)
         for (i, _, pieces, ids), first in zip(cut, heads):
-            out[i] = np.array(first.ids, "<u4").tobytes() + b"".join(ids if ids is not None else map(get, pieces))
+            out[i] = np.array(first.ids, "<u4").tobytes() + b"".join(ids if ids is not None else [get(p) or fresh[p] for p in pieces])
         return [np.frombuffer(x, "<u4") for x in out]
 
 

@@ -52,6 +52,8 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, values: np.ndarray, levels: int, ids=None, bounds=None) -> WaveletMatrix:
+        if len(values) and int(values.max()) >> levels:
+            raise ValueError(f"id {int(values.max())} doesn't fit into {levels} levels")
         kind = np.uint16 if levels <= 16 else np.uint32
         rest, planes = values.astype(kind), []
         for level in range(levels):
@@ -155,6 +157,11 @@ class WaveletMatrix:
         return cls(size, planes, np.frombuffer(parts[0], "<i8"), np.frombuffer(parts[1], "<i8"))
 
 
+def levels_of(path: str) -> int:
+    """Planes that hold every id of a vocabulary file and the end id."""
+    return max(len(tokens.encoder(path).opens) - 1, END).bit_length()
+
+
 def _write(path: str, levels: int, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -191,8 +198,12 @@ def _write(path: str, levels: int, shard: int):
     return run
 
 
-def write_files(df: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD, levels: int = 16, partitions: int | None = None) -> None:
-    """Token files of a corpus as rows (part, block, base, size, nulls, content) under ``folder``."""
+def write_files(df: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD, levels: int | None = None, partitions: int | None = None) -> None:
+    """Token files of a corpus as rows (part, block, base, size, nulls, content) under ``folder``.
+
+    There are as many ``levels`` as the vocabulary needs; an id beyond stated ones fails the job.
+    """
+    levels = levels or levels_of(path)
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     ordered = slim.repartitionByRange(partitions or width(df.sparkSession), "id").sortWithinPartitions("id", "text")
     schema = "part int, block int, base long, size long, nulls long, content binary"
