@@ -3,9 +3,13 @@
 Documents become pieces of at most ``capacity`` ids. Pieces are dealt out by hash, so every
 partition sees the corpus's mix of lengths, and packed there best-fit, longest first. Bins that
 are nearly full are done. Underfull bins become items of the next round: groups of partitions,
-``fan`` at a time, pack them best-fit again, up to one group. A round passes on the ``carry``
-emptiest underfull bins of a group at most; the others are done as they are. Two bins of one
-group never fit together afterwards, so only one of them can be half empty and little is lost.
+``fan`` at a time, pack them best-fit again, up to one group.
+
+Two bins that were packed together never fit together afterwards, so every partition has at most
+one bin that is half empty or more, and only these bins, at most one a partition, can still move
+into another. Each needs one host, and the emptiest bins of a group take whatever others take;
+so a round that passes on the emptiest bins of a group, as many as there are partitions, loses
+nothing, and no group's size grows with the corpus.
 
 Cases: a null or empty text is the end id alone. Documents of up to ``capacity`` ids are never
 cut; longer ones are cut so that only their first piece may be shorter. Rows may repeat and ids
@@ -30,7 +34,6 @@ CAPACITY = 1024
 END = 2
 FAN = 8
 NEARLY = 8  # free places of a bin that is done
-CARRY = 4000
 _FULL = 1 << 62  # marks the bins of pieces that fill a sequence
 
 
@@ -119,8 +122,11 @@ def _merge(capacity: int, carry: int, nearly: int):
     return run
 
 
-def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, partitions: int | None = None, fan: int = FAN, carry: int = CARRY, nearly: int = NEARLY, with_ids: bool = False) -> DataFrame:
-    """Per piece: id, piece, start, length, ids_crc32, sequence, offset, and its ids if asked for."""
+def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, partitions: int | None = None, fan: int = FAN, carry: int | None = None, nearly: int = NEARLY, with_ids: bool = False) -> DataFrame:
+    """Per piece: id, piece, start, length, ids_crc32, sequence, offset, and its ids if asked for.
+
+    ``carry`` bounds the bins that a group passes on; as many as partitions are enough.
+    """
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = "id long, piece int, start long, length long, ids_crc32 long, bin long, ids binary"
     pieces = staged(slim.mapInArrow(_cut(path, capacity, with_ids), schema))
@@ -135,7 +141,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     while groups > 1:
         groups = -(-groups // fan)
         bins = bins.withColumn("home", F.floor(F.col("home") / F.lit(fan)))
-        done = staged(bins.groupBy("home").applyInPandas(_merge(capacity, carry, nearly), "bin long, host long, base long, home long, fill long, on boolean"))
+        done = staged(bins.groupBy("home").applyInPandas(_merge(capacity, carry or parts, nearly), "bin long, host long, base long, home long, fill long, on boolean"))
         step = done.where("bin <> host").select("bin", "host", "base")
         if moved is None:
             moved = step
