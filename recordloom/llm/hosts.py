@@ -5,7 +5,7 @@ links stay on the host) and, weakly, with the domain above them. Personalised Pa
 trust along edges from pages that rules allow, standing along edges from pages without a rule,
 and distrust against the edges from pages that rules block: what links to blocked pages loses.
 A host is blocked if its distrust exceeds its trust and standing. Scores are in pages, so they
-need no total. Only DataFrame functions are used.
+need no total, and lie within ``TOLERANCE`` of the seeds to the fixed point. Only DataFrame functions are used.
 
 Cases: a null url, or one without ``://``, has empty host and path, meets no rule, and is allowed.
 A null page text has no links. Rows may repeat; every row is judged. Extra columns are ignored.
@@ -22,7 +22,8 @@ from recordloom.llm.common import staged, table
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 DAMPING = 0.85
-STEPS = 12
+TOLERANCE = 1e-4  # of the seeds
+ROUND = 4  # steps between two written tables
 _LINK = r"(?i)\bhref\s*=\s*[\"']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,23 +48,40 @@ def rule_of(host: F.Column, path: F.Column, rules=RULES) -> tuple[F.Column, F.Co
     return name, verdict
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """seeds (kind, host, seed) and edges (kind, src, dst, weight) to (kind, host, score).
 
+    Scores are sums over walks of every length; ``fresh`` is what walks of the last length added.
+    Longer ones can add ``damping / (1 - damping)`` times its total at most, so steps end when
+    that is within ``tolerance`` of the kind's seeds; the scores, summed over all hosts, then lie
+    that near to the fixed point. A step keeps at most ``damping`` of the total, so
+    ``log(tolerance) / log(damping)`` steps, rounded up to whole rounds, are always enough.
+
     A row a host and kind; sums are combined before the shuffle, so a hub costs a row a task.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
-    walk = staged(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share")))
-    seeds = staged(seeds)
-    rank = seeds.withColumnRenamed("seed", "score")
-    for step in range(steps):
-        flow = rank.withColumnRenamed("host", "src").join(walk, ["kind", "src"])
-        flow = flow.select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * F.lit(damping)).alias("score"))
-        base = seeds.select("kind", "host", (F.col("seed") * F.lit(1 - damping)).alias("score"))
-        rank = flow.unionByName(base).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if step % 4 == 3 or step == steps - 1:
-            rank = staged(rank)
-    return rank
+    walk = edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share"), F.lit(0.0).alias("own"))
+    nodes = seeds.select("kind", "host").unionAll(edges.select("kind", "dst")).distinct()
+    # a host's own score goes to itself, so that a step reads the ranks once
+    walk = staged(walk.unionByName(nodes.select("kind", F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(0.0).alias("share"), F.lit(1.0).alias("own"))))
+    start = F.col("seed") * F.lit(1 - damping)
+    rank = staged(seeds.select("kind", "host", start.alias("score"), start.alias("fresh")))
+
+    def ahead() -> dict[str, float]:
+        """By kind, the most that longer walks can add."""
+        return {r.kind: r.total * damping / (1 - damping) for r in rank.groupBy("kind").agg(F.sum("fresh").alias("total")).collect()}
+
+    left = ahead()
+    enough = {kind: most / damping * tolerance for kind, most in left.items()}
+    while any(most > enough[kind] for kind, most in left.items()):
+        for _ in range(ROUND):
+            flow = rank.withColumnRenamed("host", "src").join(walk, ["kind", "src"])
+            added = F.col("fresh") * F.col("share") * F.lit(damping)
+            flow = flow.select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("own") + added).alias("score"), added.alias("fresh"))
+            rank = flow.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("fresh").alias("fresh"))
+        rank = staged(rank)
+        left = ahead()
+    return rank.select("kind", "host", "score")
 
 
 def judged(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
