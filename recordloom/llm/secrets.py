@@ -15,6 +15,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 import string
 
@@ -33,14 +34,19 @@ ORDINARY = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z]{16,}+(?![A-Za-z0-9+/_=-])"
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
 RATIO = 0.7  # nats a step
 BACKOFF = 10.0  # weight of how often a character occurs at all, in counts of the pair's row
+_LIST = 1024  # spans that are put together at a time
 _SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
 def _spans(text: F.Column, pattern: str, rank: int, keep=None) -> F.Column:
-    """All matches as (start, rank, end, value); the text between matches gives the places."""
+    """All matches as (start, rank, end, value); the text between matches gives the places.
+
+    Arrays grow by copying, so spans are put into lists of ``_LIST`` and the lists joined at the
+    end: the work is in proportion to the matches.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.split(text, pattern, -1)
-    fresh = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    none = F.array().cast(_SPAN)
 
     def step(acc, pair):
         start = acc["at"] + F.length(pair["before"])
@@ -48,8 +54,14 @@ def _spans(text: F.Column, pattern: str, rank: int, keep=None) -> F.Column:
         one = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), pair["match"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
+    def add_list(acc, pairs):
+        one = F.aggregate(pairs, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return F.struct(one["at"].alias("at"), F.concat(acc["lists"], F.array(one["out"])).alias("lists"))
+
     pairs = F.zip_with(F.slice(parts, 1, F.size(found)), found, lambda p, m: F.struct(p.alias("before"), m.alias("match")))
-    spans = F.aggregate(pairs, fresh, step, lambda acc: acc["out"])
+    lists = F.transform(F.sequence(F.lit(1), F.size(found), F.lit(_LIST)), lambda i: F.slice(pairs, i, F.lit(_LIST)))
+    fresh = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("lists"))
+    spans = F.flatten(F.aggregate(lists, fresh, add_list, lambda acc: acc["lists"]))
     if keep is not None:
         spans = F.filter(spans, keep)
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
@@ -74,13 +86,31 @@ def scanned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _steps(samples: DataFrame, label: str) -> DataFrame:
-    pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("value") - 1), lambda i: F.substring(F.col("value"), i, F.lit(2))))
-    return samples.where(F.length("value") >= 2).select(F.lit(label).alias("label"), pair.alias("pair")).groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n"))
+    steps = F.length("value") - 1
+    pair = F.explode(F.zip_with(F.slice("chars", 1, steps), F.slice("chars", 2, steps), lambda a, b: F.concat(a, b)))
+    chars = samples.where(F.length("value") >= 2).select("value", F.split("value", "").alias("chars"))
+    return chars.select(F.lit(label).alias("label"), pair.alias("pair")).groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _free(c: F.Column, *base: str) -> F.Column:
-    """Whether a span overlaps none of the base spans."""
-    return ~F.exists(F.concat(*base), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    """Whether a span overlaps none of the base spans.
+
+    Spans of one kind are in order and apart, so the last one of it that starts before ``c`` ends
+    is the only one to look at; it is found by halving.
+    """
+
+    def apart(kind):
+        def halve(acc, _):
+            mid = F.shiftright(acc["low"] + acc["high"] + 1, 1)
+            before = F.element_at(kind, F.greatest(mid, F.lit(1)))["start"] < c["end"]
+            return F.struct(F.when(before, mid).otherwise(acc["low"]).alias("low"), F.when(before, acc["high"]).otherwise(F.greatest(mid - 1, acc["low"])).alias("high"))
+
+        whole = F.struct(F.lit(0).alias("low"), F.size(kind).alias("high"))
+        rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(kind) + 1)).cast("int"))
+        last = F.aggregate(rounds, whole, halve, lambda acc: acc["low"])
+        return F.when(F.size(kind) == 0, True).otherwise(F.when(last == 0, True).otherwise(F.element_at(kind, F.greatest(last, F.lit(1)))["end"] <= c["start"]))
+
+    return functools.reduce(lambda a, b: a & b, (apart(F.col(k)) for k in base))
 
 
 def _model(numbers: list[float]) -> F.Column:
@@ -88,9 +118,13 @@ def _model(numbers: list[float]) -> F.Column:
 
 
 def _score(value: F.Column, model: F.Column) -> F.Column:
-    code = lambda i: F.ascii(F.substring(value, i, F.lit(1)))
-    total = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), lambda acc, i: acc + F.element_at(model, code(i) * 128 + code(i + 1) + 1))
-    return total / (F.length(value) - 1)
+    def step(acc, char):
+        code = F.ascii(char)
+        more = F.when(acc["last"] < 0, 0.0).otherwise(F.element_at(model, F.greatest(acc["last"], F.lit(0)) * 128 + code + 1))
+        return F.struct(code.alias("last"), (acc["total"] + more).alias("total"))
+
+    whole = F.aggregate(F.split(value, ""), F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("total")), step, lambda acc: acc["total"])
+    return whole / (F.length(value) - 1)
 
 
 def ratios(found: DataFrame, first: list[float] | None = None) -> list[float]:
@@ -99,7 +133,7 @@ def ratios(found: DataFrame, first: list[float] | None = None) -> list[float]:
     With ratios of a ``first`` round, samples that these take for random aren't ordinary. At most two counts for each pair of the alphabet reach the driver.
     """
     secret = found.select(F.explode(F.concat(F.transform("assign", lambda s: _assigned(s["value"])), F.transform("access", lambda s: s["value"]), F.transform("hex", lambda s: s["value"]))).alias("value"))
-    outside = F.filter("ordinary", lambda c: _free(c, "assign", "access", "hex"))
+    outside = F.filter("ordinary", lambda c: _free(c, *KINDS[:3]))
     plain = found.select(F.explode(F.transform(outside, lambda s: s["value"])).alias("value"))
     if first is not None:
         plain = plain.where(_score(F.col("value"), _model(first)) <= 0)
@@ -122,8 +156,8 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ratio:
     """Per row: id and ``base`` and ``extra`` as sorted arrays of (start, rank, end, value)."""
     found = staged(scanned(df, id_col, text_col))
     model = _model(ratios(found, ratios(found)))
-    rows = found.select("id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "candidates", F.size("assign").alias("n_assign"), F.size("access").alias("n_access"), F.size("hex").alias("n_hex"))
-    extra = F.filter("candidates", lambda c: _free(c, "base") & (_score(c["value"], model) >= ratio))
+    rows = found.select("id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "candidates", *KINDS[:3], F.size("assign").alias("n_assign"), F.size("access").alias("n_access"), F.size("hex").alias("n_hex"))
+    extra = F.filter("candidates", lambda c: _free(c, *KINDS[:3]) & (_score(c["value"], model) >= ratio))
     return rows.select("id", "base", extra.alias("extra"), "n_assign", "n_access", "n_hex")
 
 
