@@ -130,7 +130,6 @@ def test_near_deduplication_keeps_different_texts_of_one_id(spark):
 
 def whole(text):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -245,7 +244,7 @@ def test_signatures_estimate_weighted_similarity():
     items = textops.mix(a + np.uint64(1))
     left, right = (items[:300], np.ones(300)), (items[100:], np.ones(300))
     got = minhash.signatures([left, right, (items[:300], np.full(300, 7.0))], 4096)
-    assert abs((got[0] == got[1]).mean() - 0.5) < 0.04 and (got[0] == got[2]).all() is not False
+    assert abs((got[0] == got[1]).mean() - 0.5) < 0.04 and (got[0] == got[2]).mean() > 0.999
 
 
 def test_passages(docs, nothing):
@@ -301,7 +300,7 @@ def test_recall_of_changed_passages(spark):
     assert min(recall.values()) >= 0.95, recall
 
 
-def test_chain_is_the_best_of_all():
+def test_chains_are_in_order_and_hold_each_match_once():
     for seed in range(30):
         rng = np.random.default_rng(seed)
         x, y = rng.integers(0, 60, (2, 9))
@@ -354,18 +353,6 @@ def test_hosts(spark):
     assert hosts.judged(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_propagation_equals_power_iteration(spark):
-    edges = [("t", "a", "b", 1.0), ("t", "a", "c", 3.0), ("t", "b", "c", 1.0), ("t", "c", "a", 2.0)]
-    seeds = [("t", "a", 4.0), ("t", "b", 1.0)]
-    got = {r.host: r.score for r in hosts.propagate(spark.createDataFrame(seeds, "kind string, host string, seed double"), spark.createDataFrame(edges, "kind string, src string, dst string, weight double"), steps=5).collect()}
-    names, seed = "abc", np.array([4.0, 1.0, 0.0])
-    walk = np.array([[0, 0.25, 0.75], [0, 0, 1], [1, 0, 0]])
-    rank = seed.copy()
-    for _ in range(5):
-        rank = 0.15 * seed + 0.85 * rank @ walk
-    assert [got[n] for n in names] == pytest.approx(rank.tolist())
-
-
 def base_spans(text):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 6]
     out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
