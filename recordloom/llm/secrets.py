@@ -3,8 +3,10 @@
 Three patterns give the base spans. Two first-order Markov models of characters are trained on
 labelled samples from the whole corpus: random strings are the values inside base spans, ordinary
 identifiers are long runs of letters outside of them, in a second round without those that the
-first takes for random. Other long tokens that hold a letter, with
-or without digits, are secrets where the mean log-likelihood ratio per step reaches ``RATIO``. Only DataFrame
+first takes for random. Random strings draw evenly within a class of characters, so
+their model is one of turns between classes, mixed with an even one for alphabets that no sample
+shows. Other long tokens that hold a letter, with
+or without digits, are secrets where the mean log-likelihood ratio per step exceeds ``RATIO``. Only DataFrame
 functions are used; the model is a table of 128 x 128 numbers, whatever the corpus.
 
 Offsets are code points, ends exclusive. Method spans never overlap base spans. Cases: a null or
@@ -31,8 +33,11 @@ KINDS = ("assign", "access", "hex", "markov")
 #: A maximal run of 16 or more with a letter; the ordinary sample says nothing on runs without.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
 ORDINARY = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z]{16,}+(?![A-Za-z0-9+/_=-])"
-ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
-RATIO = 0.7  # nats a step
+CLASSES = (string.ascii_lowercase, string.ascii_uppercase, string.digits, "+/_.=-")
+ALPHABET = "".join(CLASSES)
+RATIO = 0.0  # nats a step
+EVEN = 0.3  # share of steps in random strings that go to any character
+ESCAPE = 0.05  # share of steps in ordinary identifiers that may go to any character
 BACKOFF = 10.0  # weight of how often a character occurs at all, in counts of the pair's row
 _LIST = 1024  # spans that are put together at a time
 _SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
@@ -139,14 +144,18 @@ def ratios(found: DataFrame, first: list[float] | None = None) -> list[float]:
         plain = plain.where(_score(F.col("value"), _model(first)) <= 0)
     counts = {(r.label, r.pair): r.n for r in _steps(secret, "random").unionByName(_steps(plain, "ordinary")).collect()}
     out = [0.0] * (128 * 128)
-    labels = "random", "ordinary"
-    alone = {label: {b: sum(counts.get((label, a + b), 0) for a in ALPHABET) + 1 for b in ALPHABET} for label in labels}
-    total = {label: sum(alone[label].values()) for label in labels}
-    for a in ALPHABET:
-        row = {label: sum(counts.get((label, a + b), 0) for b in ALPHABET) for label in labels}
-        for b in ALPHABET:
-            p = [(counts.get((label, a + b), 0) + BACKOFF * alone[label][b] / total[label]) / (row[label] + BACKOFF) for label in labels]
-            out[ord(a) * 128 + ord(b)] = round(math.log(p[0] / p[1]), 6)
+    count = lambda label, start, then: sum(counts.get((label, x + y), 0) for x in start for y in then)
+    turns = {c: {d: count("random", c, d) + 1 for d in CLASSES} for c in CLASSES}
+    alone = {y: count("ordinary", ALPHABET, y) + 1 for y in ALPHABET}
+    total = sum(alone.values())
+    for c in CLASSES:
+        for x in c:
+            row = count("ordinary", x, ALPHABET)
+            for d in CLASSES:
+                drawn = (1 - EVEN) * turns[c][d] / sum(turns[c].values()) / len(d) + EVEN / len(ALPHABET)
+                for y in d:
+                    seen = (counts.get(("ordinary", x + y), 0) + BACKOFF * alone[y] / total) / (row + BACKOFF)
+                    out[ord(x) * 128 + ord(y)] = round(math.log(drawn / ((1 - ESCAPE) * seen + ESCAPE / len(ALPHABET))), 6)
     if not any(k[0] == "random" for k in counts) or not any(k[0] == "ordinary" for k in counts):
         return [0.0] * len(out)
     return out
@@ -157,7 +166,7 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ratio:
     found = staged(scanned(df, id_col, text_col))
     model = _model(ratios(found, ratios(found)))
     rows = found.select("id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "candidates", *KINDS[:3], F.size("assign").alias("n_assign"), F.size("access").alias("n_access"), F.size("hex").alias("n_hex"))
-    extra = F.filter("candidates", lambda c: _free(c, *KINDS[:3]) & (_score(c["value"], model) >= ratio))
+    extra = F.filter("candidates", lambda c: _free(c, *KINDS[:3]) & (_score(c["value"], model) > ratio))
     return rows.select("id", "base", extra.alias("extra"), "n_assign", "n_access", "n_hex")
 
 
