@@ -313,22 +313,21 @@ def read_benefits_xml(spark: SparkSession, path: str, folder: str | None = None)
     folder = folder or stage_folder(spark)
 
     def read() -> Ingested:
-        found = read_elements(spark, path, "enrollment", folder)
+        found = read_elements(spark, path, "enrollment", folder, fields)
         failures = spark.createDataFrame([(f,) for f in found.broken], "filepath string").select(
             F.lit(source).alias("source_system"),
             F.lit("ParseError: malformed XML document").alias(REASON),
             F.to_json(F.struct("filepath")).alias(RAW),
         )
         record = F.col("record")
-        rows = found.rows.select(*(record[f].alias(f) for f in fields), F.col("_pos").alias(POSITION), "record")
+        has = [f"has_{f}" for f in fields]
+        rows = found.rows.select(*(F.col(f"f_{f}").alias(f) for f in fields), F.col("_pos").alias(POSITION), "record", *has)
         lost = F.col("employee_id").isNull() | F.col("plan_type").isNull()
         why = "Malformed enrollment or missing employee_id/plan_type"
         marked = mark(rows, [(lost, why)], F.to_json(record, _WITH_NULLS))
-        flags = {f: F.map_contains_key(record, f) for f in fields}
-        kept = marked.withColumns({f"has_{f}": flag for f, flag in flags.items()}).drop("record")
-        got = written(kept, source, folder, **{f: F.col(f"has_{f}") for f in fields})
+        got = written(marked.drop("record"), source, folder, **{f: F.col(f"has_{f}") for f in fields})
         rejects = failures.unionByName(got.rejects)
-        good = got.good.drop(*(f"has_{f}" for f in fields))
+        good = got.good.drop(*has)
         missing = sorted(f for f in fields if got.seen[f] is False)
         if not missing:
             return Ingested(align_employees(good, source), rejects, got.seen)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -22,8 +22,14 @@ from recordloom.sources.pieces import chunks, empty_files, read_pieces
 
 #: Bytes outside the elements that a file may have; they are put together in one row.
 AROUND = 64 << 20
-_SCHEMA = "file string, block long, row long, record map<string,string>, broken boolean, outside string"
-_TYPES = pa.struct([("file", pa.string()), ("block", pa.int64()), ("row", pa.int64()), ("record", pa.map_(pa.string(), pa.string())), ("broken", pa.bool_()), ("outside", pa.string())])
+_SCHEMA = "file string, block long, row long, record map<string,string>, broken boolean, outside string, plain boolean"
+
+
+#: What may be told without a parser: names, texts without references, spaces between elements.
+_NAME = "[A-Za-z_][A-Za-z0-9_.-]*"
+_TEXT = "[^<>&\x00-\x08\x0b-\x1f\ufffe\uffff]*"
+_SPACE = "[ \t\r\n]*"
+_CHILD = re.compile(f"<({_NAME})>({_TEXT})<")
 
 
 def _record(element: ET.Element) -> dict[str, str | None]:
@@ -31,50 +37,112 @@ def _record(element: ET.Element) -> dict[str, str | None]:
     return {child.tag: (child.text or "").strip() or None for child in element}
 
 
-def _pieces_to_rows(tag: str):
+class _Rows:
+    """Rows of one range, kept as columns.
+
+    Elements with exactly the wanted fields are ``plain``: they have cells and no record. The keys
+    and values of other records go to flat lists.
+    """
+
+    def __init__(self, fields: Sequence[str]) -> None:
+        self.fields = fields
+        self.cells: list[tuple] = []
+        self.offsets: list[int | None] = []
+        self.keys: list[str] = []
+        self.values: list[str | None] = []
+        self.broken: list[bool] = []
+        self.outside: list[str | None] = []
+        self.plain: list[bool] = []
+        self._none = (None,) * len(fields)
+
+    def add(self, record: dict[str, str | None] | None, broken: bool, outside: str | None = None) -> None:
+        self._row(self._none, None if record is None else len(self.keys), broken, outside, False)
+        if record:
+            self.keys += record
+            self.values += record.values()
+
+    def add_plain(self, cells: tuple) -> None:
+        self._row(cells, None, False, None, True)
+
+    def _row(self, cells, offset, broken, outside, plain) -> None:
+        self.cells.append(cells)
+        self.offsets.append(offset)
+        self.broken.append(broken)
+        self.outside.append(outside)
+        self.plain.append(plain)
+
+    def batch(self, file: str, block: int, first: int) -> pa.RecordBatch:
+        n = len(self.broken)
+        offsets = pa.array([*self.offsets, len(self.keys)], pa.int32())
+        columns = {
+            "file": pa.repeat(pa.scalar(file, pa.string()), n),
+            "block": pa.repeat(pa.scalar(block, pa.int64()), n),
+            "row": pa.array(range(first, first + n), pa.int64()),
+            "record": pa.MapArray.from_arrays(offsets, pa.array(self.keys, pa.string()), pa.array(self.values, pa.string())),
+            "broken": pa.array(self.broken, pa.bool_()),
+            "outside": pa.array(self.outside, pa.string()),
+            "plain": pa.array(self.plain, pa.bool_()),
+        }
+        cells = {f"f_{f}": pa.array(c, pa.string()) for f, c in zip(self.fields, zip(*self.cells))}
+        return pa.RecordBatch.from_pydict(columns | cells)
+
+
+def _pieces_to_rows(tag: str, fields: Sequence[str]):
     opening = re.compile(rf"<{re.escape(tag)}(?=[\s>/])[^>]*>")
     closing = f"</{tag}>"
+    # elements of simple children only: with exactly the fields, or with any others
+    start = f"{_SPACE}<{re.escape(tag)}>{_SPACE}"
+    usual = "".join(f"<{re.escape(f)}>({_TEXT})</{re.escape(f)}>{_SPACE}" for f in fields)
+    exact = re.compile(start + usual).fullmatch if fields and tag not in fields else None
+    simple = re.compile(f"{start}((?:<({_NAME})>{_TEXT}</\\2>{_SPACE})*)").fullmatch
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for (file, block, _), pieces, _ in chunks(batches):
-            for piece in pieces:
-                yield from of_piece(file, block, piece)
-
-    def of_piece(file: str, block: int, piece: bytes) -> Iterator[tuple]:
+    def of_piece(piece: bytes, rows: _Rows) -> None:
         try:
             text = piece.decode("utf-8")
         except UnicodeDecodeError:
-            yield file, block, None, True, None
+            rows.add(None, True)
+            return
+        found = exact and exact(text)
+        if found:
+            rows.add_plain(tuple([cell.strip() or None for cell in found.groups()]))
+            return
+        found = simple(text)
+        if found:
+            record = {name: value.strip() or None for name, value in _CHILD.findall(found[1])}
+            rows.add(record, tag in record)
             return
         outside, at = [], 0
         for found in opening.finditer(text):
             outside.append(text[at : found.start()])
             if found.group().endswith("/>"):
-                yield file, block, {}, False, None
+                rows.add({}, False)
                 at = found.end()
                 continue
             try:
                 element = ET.fromstring(text[found.start() :] + closing)
-                yield file, block, _record(element), element.find(f".//{tag}") is not None, None
+                rows.add(_record(element), element.find(f".//{tag}") is not None)
             except ET.ParseError:
-                yield file, block, None, True, None
+                rows.add(None, True)
             at = len(text)
             break
         outside.append(text[at:])
         rest = "".join(outside)
         if rest.strip():
-            yield file, block, None, False, rest
+            rows.add(None, False, rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, row = [], 0
-        for file, block, record, broken, outside in rows(batches):
-            row += 1  # grows within each range
-            held.append({"file": file, "block": block, "row": row, "record": None if record is None else list(record.items()), "broken": broken, "outside": outside})
-            if len(held) == 2000:
-                yield pa.RecordBatch.from_struct_array(pa.array(held, _TYPES))
-                held = []
-        if held:
-            yield pa.RecordBatch.from_struct_array(pa.array(held, _TYPES))
+        row = 1  # grows within each range
+        for (file, block, _), pieces, _ in chunks(batches):
+            rows = _Rows(fields)
+            for piece in pieces:
+                of_piece(piece, rows)
+                if len(rows.broken) >= 2000:
+                    yield rows.batch(file, block, row)
+                    row += len(rows.broken)
+                    rows = _Rows(fields)
+            if rows.broken:
+                yield rows.batch(file, block, row)
+                row += len(rows.broken)
 
     return run
 
@@ -93,20 +161,27 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Elements:
-    """``rows``: record (tag to text) and _pos, of whole files; ``broken``: the other files."""
+    """``rows``: record (tag to text) and _pos, of whole files; ``broken``: the other files.
+
+    With fields, rows also have the text ``f_<field>`` and ``has_<field>``, whether there is such a tag.
+    """
 
     rows: DataFrame
     broken: list[str]
 
 
-def read_elements(spark: SparkSession, path: str, tag: str, folder: str | None = None) -> Elements:
+def read_elements(
+    spark: SparkSession, path: str, tag: str, folder: str | None = None, fields: Sequence[str] = ()
+) -> Elements:
     """Every ``tag`` element of the files that are well formed.
 
     One pass reads the files; its result is a written table in ``folder``. The driver gets the
-    names of the broken files.
+    names of the broken files. Elements that hold exactly the ``fields``, in their order, are
+    written as cells, others as maps; the records are the same.
     """
     folder = folder or stage_folder(spark)
-    read = read_pieces(spark, path, f"</{tag}>").mapInArrow(_pieces_to_rows(tag), _SCHEMA)
+    shape = _SCHEMA + "".join(f", `f_{f}` string" for f in fields)
+    read = read_pieces(spark, path, f"</{tag}>").mapInArrow(_pieces_to_rows(tag, tuple(fields)), shape)
     table = staged(read, folder, "elements")
     outside = table.where(F.col("outside").isNotNull())
     size = outside.groupBy("file").agg(F.sum(F.octet_length("outside")).alias("size"))
@@ -117,7 +192,17 @@ def read_elements(spark: SparkSession, path: str, tag: str, folder: str | None =
     files = table.groupBy("file").agg(F.bool_or("broken").alias("broken")).join(whole, "file", "left")
     told = files.select("file", (F.col("broken") | ~F.coalesce("whole", F.lit(False))).alias("broken")).collect()
     broken = [r.file for r in told if r.broken] + empty_files(spark, path, {r.file for r in told})
-    rows = table.where(F.col("record").isNotNull()).select("record", F.struct("file", "block", "row").alias("_pos"))
+    kept, plain, record = table.where(F.col("plain") | F.col("record").isNotNull()), F.col("plain"), F.col("record")
+    cells = {f: F.col(f"`f_{f}`") for f in fields}
+    whole_record = record
+    if fields:
+        whole_record = F.when(plain, F.create_map(*(c for f in fields for c in (F.lit(f), cells[f])))).otherwise(record)
+    rows = kept.select(
+        whole_record.alias("record"),
+        F.struct("file", "block", "row").alias("_pos"),
+        *(F.when(plain, c).otherwise(record[f]).alias(f"f_{f}") for f, c in cells.items()),
+        *((plain | F.map_contains_key(record, f)).alias(f"has_{f}") for f in fields),
+    )
     if broken:
         gone = spark.createDataFrame([(f,) for f in broken], "file string")
         rows = rows.join(F.broadcast(gone), rows["_pos.file"] == gone["file"], "left_anti")  # one line per file

@@ -5,6 +5,7 @@ import io
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from recordloom.sources.csv_ranges import HeaderMismatch, read_records
@@ -132,3 +133,52 @@ def test_xml_in_ranges(spark, small_ranges, tmp_path):
     assert [r.record.get("employee_id") for r in rows] == [*map(str, range(20)), None]
     assert rows[3].record == {"employee_id": "3", "plan_type": "P&3", "extra": "é"} and rows[20].record == {}
     assert sorted(f.split("/")[-1] for f in got.broken) == ["b.xml", "c.xml", "d.xml"]
+
+
+_FIELDS = ("employee_id", "plan_type")
+
+
+def _xml_rows(pieces):
+    from recordloom.sources.xml_ranges import _pieces_to_rows
+
+    n = len(pieces)
+    batch = pa.RecordBatch.from_pydict({"piece": pa.array(pieces, pa.binary()), "file": pa.array(["f"] * n), "block": pa.array([0] * n, pa.int64()), "size": pa.array([9] * n, pa.int64())})
+    return [r for out in _pieces_to_rows("enrollment", _FIELDS)(iter([batch])) for r in out.to_pylist()]
+
+
+def test_xml_plain_elements_need_no_parser(monkeypatch):
+    import recordloom.sources.xml_ranges as xml
+
+    monkeypatch.setattr(xml.ET, "fromstring", lambda text: pytest.fail("parsed: " + text))
+    rows = _xml_rows([b"\n<enrollment><employee_id> 1 </employee_id>\n<plan_type></plan_type></enrollment>"[:-13], b"<enrollment><plan_type>x</plan_type><more>\xc3\xa9</more>"])
+    assert [(r["plain"], r["f_employee_id"], r["f_plan_type"], r["record"]) for r in rows] == [(True, "1", None, None), (False, None, None, [("plan_type", "x"), ("more", "é")])]
+
+
+def test_xml_without_parser_equals_parser():
+    import xml.etree.ElementTree as ET
+
+    bodies = ["", " ", "t", "a&amp;b", "a&b", "a<b", "a>b", "]]>", "\x00", "\x1f", "\r x\r\ny", "\x7f", "\u0085x\u00a0", "\ufffe", "\uffff", "<b>1</b>", "<!-- c -->x", "<![CDATA[x]]>", "é\U0001f600", "\u2028"]
+    shapes = ["<employee_id>{}</employee_id><plan_type>p</plan_type>", "<plan_type>p</plan_type> <employee_id>{}</employee_id>", "<employee_id>1</employee_id><plan_type>p</plan_type><employee_id>{}</employee_id>",
+              "<employee_id a='1'>{}</employee_id>", "<a:b>{}</a:b>", "<é>{}</é>", "<a>1</a>{}", "<a>{}</b>", "<1a>{}</1a>", "<a/>{}", "<enrollment>{}"]
+    pieces = [f"<enrollment>{shape.format(body)}" for shape in shapes for body in bodies]
+    rows = iter(_xml_rows([p.encode("utf-8") for p in pieces]))
+    for piece in pieces:
+        row = next(rows)
+        got = dict(zip(_FIELDS, (row["f_employee_id"], row["f_plan_type"]))) if row["plain"] else row["record"] if row["record"] is None else dict(row["record"])
+        try:
+            element = ET.fromstring(piece + "</enrollment>")
+            wanted, broken = {c.tag: (c.text or "").strip() or None for c in element}, element.find(".//enrollment") is not None
+        except ET.ParseError:
+            wanted, broken = None, True
+        assert (got, list(got or ()), row["broken"]) == (wanted, list(wanted or ()), broken), piece
+    assert next(rows, None) is None
+
+
+def test_xml_fields_beside_records(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(
+        "<benefits><enrollment><employee_id>1</employee_id><plan_type>p</plan_type></enrollment><enrollment><plan_type>q&amp;</plan_type></enrollment>"
+        "<enrollment><employee_id>2</employee_id><plan_type/><more>x</more></enrollment></benefits>"
+    )
+    rows = read_elements(spark, str(tmp_path), "enrollment", fields=_FIELDS).rows.orderBy("_pos.row").collect()
+    assert [r.record for r in rows] == [{"employee_id": "1", "plan_type": "p"}, {"plan_type": "q&"}, {"employee_id": "2", "plan_type": None, "more": "x"}]
+    assert [(r.f_employee_id, r.f_plan_type, r.has_employee_id, r.has_plan_type) for r in rows] == [("1", "p", True, True), (None, "q&", False, True), ("2", None, True, True)]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.config import CustomerRules, EmployeeRules
@@ -183,11 +184,14 @@ def write_documents(values: DataFrame, path: str, first: str, between: str, last
     def document(batches):
         lead = first
         for batch in batches:
-            texts = []
-            for value in batch.column(0).to_pylist():
-                texts.append(lead + value)
+            values = batch.column(0)
+            if values.null_count:
+                raise ValueError("a document can't hold a null value")
+            if len(values):
+                leads = pa.array([lead], pa.string()), pa.repeat(pa.scalar(between, pa.string()), len(values) - 1)
                 lead = between
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+                texts = pc.binary_join_element_wise(pa.concat_arrays(leads), values.cast(pa.string()), "")
+                yield pa.RecordBatch.from_arrays([texts], names=["value"])
         end = last if lead == between else first + last
         yield pa.RecordBatch.from_arrays([pa.array([end])], names=["value"])
 
