@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import sys
 import types
+from itertools import compress
+from operator import not_
 
 import numpy as np
 
@@ -52,7 +54,8 @@ class Encoder:
             at = np.flatnonzero(self.opens[ids])
             if len(at) != len(part):
                 raise AssertionError("a piece holds a space")
-            found.update(zip(part, (x.tobytes() for x in np.split(ids, at[1:]))))
+            data, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
+            found.update(zip(part, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
         for piece, x in found.items():
             if len(piece) <= SHORT:
                 self.known[piece] = x
@@ -85,13 +88,17 @@ class Encoder:
             pieces = rest.split(" ") if rest else []
             ids = list(map(get, pieces))
             if None in ids:
-                missing.update(p for p, x in zip(pieces, ids) if x is None)
+                missing.update(compress(pieces, map(not_, ids)))  # a piece has an id at least
                 ids = None
             cut.append((i, head, pieces, ids))
         fresh = self.learn(sorted(missing)) if missing else {}
         heads = self.tokenizer.encode_batch_fast([head for _, head, _, _ in cut], add_special_tokens=False)
         for (i, _, pieces, ids), first in zip(cut, heads):
-            out[i] = np.array(first.ids, "<u4").tobytes() + b"".join(ids if ids is not None else [get(p) or fresh[p] for p in pieces])
+            if ids is None:
+                ids = list(map(get, pieces))
+                if None in ids:  # long ones
+                    ids = [x or fresh[p] for p, x in zip(pieces, ids)]
+            out[i] = np.array(first.ids, "<u4").tobytes() + b"".join(ids)
         return [np.frombuffer(x, "<u4") for x in out]
 
 
