@@ -283,6 +283,42 @@ def test_passages_whose_parts_occur_in_smaller_documents(spark, more):
     assert all(i in spans and spans[i].low <= 22 and spans[i].high >= 78 for i in whole)
 
 
+def test_changed_passages_whose_phrases_are_in_many_smaller_documents(spark, monkeypatch):
+    """Every seed has more than FEW occurrences, and its smallest document is never the partner."""
+    monkeypatch.setattr(passages, "OPEN_ROWS", 3)  # several tiles for a seed
+    monkeypatch.setattr(passages, "ALL_ROWS", 4)
+    rows, whole = [], []
+    notices = [prose(64, 4000 + case).split() for case in range(12)]
+    for few in range(6):
+        phrases = [n[lo : lo + 7] for n in notices for lo in range(0, 64, 8)]
+        rows.append((few, " ".join(w for i, p in enumerate(phrases) for w in (*p, *(f"few{few}x{i}x{j}" for j in range(6))))))
+    for case, notice in enumerate(notices):
+        for copy in range(2):
+            body = [f"own{case}x{i}" if copy and i % 8 == 7 else w for i, w in enumerate(notice)]
+            whole.append(len(rows))
+            rows.append((len(rows), " ".join([prose(40, 5000 + len(rows)), *body, prose(40, 6000 + len(rows))])))
+    spans = passages.merged(passages.repeats(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    by = {r.id: r for r in spans}
+    assert set(by) == set(whole) and len(spans) == len(by)
+    assert all(r.low <= 41 and r.high >= 102 and r.partner == (i + 1 if i % 2 == 0 else i - 1) for i, r in by.items())
+
+
+def test_words_beside_seeds_never_rule_out_a_passage():
+    """50 words around a seed, ten of them replaced or left out, in other texts."""
+    for case in range(400):
+        rng = np.random.default_rng(case)
+        one, two = rng.integers(0, 2**63, (2, 240)).astype(np.uint64)
+        seed = int(rng.integers(0, 47))
+        changed = set(rng.choice([i for i in range(50) if not seed <= i < seed + 4], 10, replace=False).tolist())
+        part = [(i, rng.integers(0, 2**63, dtype=np.uint64) if i in changed else w) for i, w in enumerate(one[100:150]) if case % 2 or i not in changed]
+        at = [i for i, _ in part].index(seed)
+        two = np.concatenate([two[:80], np.array([w for _, w in part], np.uint64), two[80:]])
+        a, b = passages._beside(one, np.array([100 + seed])), passages._beside(two, np.array([80 + at]))
+        assert passages._alike(a, b).all()
+        unlike = passages._beside(rng.integers(0, 2**63, 240).astype(np.uint64), np.array([100]))
+        assert not passages._alike(a, unlike).any()
+
+
 def test_recall_of_changed_passages(spark):
     """60 words, one word in ``every`` changed, or that share of them at random places."""
     rows, home, cases = [], {}, 40
