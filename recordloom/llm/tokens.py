@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import sys
 import types
-from itertools import compress
+from itertools import compress, count
 from operator import not_
 
 import numpy as np
@@ -50,16 +50,18 @@ class Encoder:
         found: dict[str, bytes] = {}
         for lo in range(0, len(pieces), self.joined):
             part = pieces[lo : lo + self.joined]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            text = " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(self.opens[ids])
             if len(at) != len(part):
                 raise AssertionError("a piece holds a space")
             data, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
             found.update(zip(part, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
-        for piece, x in found.items():
-            if len(piece) <= SHORT:
-                self.known[piece] = x
-                self.held += _EACH + len(piece) * (1 if piece.isascii() else 4) + len(x)
+            self.held += _EACH * len(part) + len(text) * (1 if text.isascii() else 4) + len(data)  # with those not remembered
+        if max(map(len, found), default=0) <= SHORT:
+            self.known.update(found)
+        else:
+            self.known.update((piece, x) for piece, x in found.items() if len(piece) <= SHORT)
         return found
 
     def whole(self, text: str) -> bytes:
@@ -75,7 +77,7 @@ class Encoder:
             self.known.clear()
             self.held = 0
         get = self.known.get
-        cut: list[tuple[int, str, list[str], list]] = []
+        cut: list[tuple[int, str, list[str], list, list[int]]] = []
         out: list[bytes] = [b""] * len(texts)
         missing: set[str] = set()
         for i, text in enumerate(texts):
@@ -87,17 +89,14 @@ class Encoder:
             head, _, rest = text.partition(" ")
             pieces = rest.split(" ") if rest else []
             ids = list(map(get, pieces))
-            if None in ids:
-                missing.update(compress(pieces, map(not_, ids)))  # a piece has an id at least
-                ids = None
-            cut.append((i, head, pieces, ids))
+            new = list(compress(count(), map(not_, ids))) if None in ids else []  # a piece has an id at least
+            missing.update(map(pieces.__getitem__, new))
+            cut.append((i, head, pieces, ids, new))
         fresh = self.learn(sorted(missing)) if missing else {}
-        heads = self.tokenizer.encode_batch_fast([head for _, head, _, _ in cut], add_special_tokens=False)
-        for (i, _, pieces, ids), first in zip(cut, heads):
-            if ids is None:
-                ids = list(map(get, pieces))
-                if None in ids:  # long ones
-                    ids = [x or fresh[p] for p, x in zip(pieces, ids)]
+        heads = self.tokenizer.encode_batch_fast([head for _, head, _, _, _ in cut], add_special_tokens=False)
+        for (i, _, pieces, ids, new), first in zip(cut, heads):
+            for at in new:
+                ids[at] = fresh[pieces[at]]
             out[i] = np.array(first.ids, "<u4").tobytes() + b"".join(ids)
         return [np.frombuffer(x, "<u4") for x in out]
 
