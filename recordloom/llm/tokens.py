@@ -50,18 +50,18 @@ class Encoder:
         found: dict[str, bytes] = {}
         for lo in range(0, len(pieces), self.joined):
             part = pieces[lo : lo + self.joined]
-            text = " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(self.opens[ids])
             if len(at) != len(part):
                 raise AssertionError("a piece holds a space")
             data, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
             found.update(zip(part, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
-            self.held += _EACH * len(part) + len(text) * (1 if text.isascii() else 4) + len(data)  # with those not remembered
-        if max(map(len, found), default=0) <= SHORT:
-            self.known.update(found)
-        else:
-            self.known.update((piece, x) for piece, x in found.items() if len(piece) <= SHORT)
+        kept = found
+        if max(map(len, found), default=0) > SHORT:
+            kept = {piece: x for piece, x in found.items() if len(piece) <= SHORT}
+        self.known.update(kept)
+        wide = compress(kept, map(not_, map(str.isascii, kept)))  # up to four bytes a character
+        self.held += _EACH * len(kept) + sum(map(len, kept)) + 3 * sum(map(len, wide)) + sum(map(len, kept.values()))
         return found
 
     def whole(self, text: str) -> bytes:
