@@ -45,7 +45,7 @@ def _cut(path: str, capacity: int, with_ids: bool):
         end = np.array([END], "<u4")
         for batch in batches:
             ids = batch.column("id").to_pylist()
-            for lo, texts in tokens.small_lists(batch.column("text")):
+            for lo, texts in tokens.small_parts(batch.column("text")):
                 rows = []
                 for i, x in enumerate(encoder.encode(texts)):
                     x = np.concatenate([x, end])

@@ -184,7 +184,7 @@ def _write(path: str, levels: int, shard: int):
         end = np.array([END], "<u4")
         for batch in batches:
             doc_ids = batch.column("id").to_pylist()
-            for lo, texts in tokens.small_lists(batch.column("text")):
+            for lo, texts in tokens.small_parts(batch.column("text")):
                 for i, x in enumerate(encoder.encode(texts)):
                     ids.append(doc_ids[lo + i])
                     held.append(np.concatenate([x, end]))

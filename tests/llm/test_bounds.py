@@ -6,8 +6,9 @@ import zlib
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from recordloom.llm import hosts, packing, quality, secrets, textops, tokens, vectors, wavelet
 
@@ -103,6 +104,34 @@ def test_remembered_pieces_are_bounded_in_bytes(monkeypatch):
         assert max(map(len, own.known)) <= tokens.SHORT and own.held < 40_000
 
 
+def test_columns_are_cut_by_bytes_as_the_library_does():
+    """Each distinct word once, however signs and line ends stand beside it; all else as a plain call."""
+    own, plain = tokens.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    one = words(500, 7)
+    signs = ["{} {}", "{}, {}", "{}.\n{}", "{}!!{}", "{}99{}", "{}_{}"]
+    own.encode([one])
+    held = len(own.known)
+    pairs = list(zip(one.split(), one.split()[1:]))
+    joined = [" " + sign.format(*pair) for sign in signs for pair in pairs]
+    assert [x.tolist() for x in own.encode(joined)] == [plain.encode(x, add_special_tokens=False).ids for x in joined]
+    assert len(own.known) <= held + 500 + 10  # second words stand without a space too; not every pair
+    rng = np.random.default_rng(4)
+    some = ["ab", "Été", "ñÿÀ", "×", "÷", "ªº", "12", "²", "don't", "'s", "\n", "\n\n", "\t", "\x00", "\x1c", "\x85", "\xa0", "日本", "\u2028", "😀", " ", " ", " ", " ", "  ", "$$", "_", "<|endoftext|>", "<|end"]
+    texts = [None, "", *("".join(rng.choice(some, rng.integers(1, 9))) for _ in range(6000))]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for column in (texts, pa.array(texts, pa.string()), pa.array(["x", *texts], pa.string())[1:]):
+        assert [x.tolist() for x in own.encode(column)] == want
+    assert [x.tolist() for _, part in tokens.small_parts(pa.array(texts)) for x in own.encode(part)] == want
+
+
+def test_other_vocabularies_encode_whole_texts(tmp_path):
+    plain = Tokenizer.from_file(VOCABULARY)
+    plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    plain.save(str(tmp_path / "other.json"))
+    texts = ["one two, three", "of the", " a\nb "]
+    assert [x.tolist() for x in tokens.Encoder(str(tmp_path / "other.json")).encode(texts)] == [plain.encode(x).ids for x in texts]
+
+
 def packed_bins(lengths, parts, carry, fan=4, capacity=256, nearly=2):
     """Sequences after local packing and the tree of merges, as ``pack`` does them."""
     rows = []
