@@ -25,7 +25,7 @@ REMEMBERED = 192 << 20
 #: Longer pieces (bytes without spaces) are encoded anew each time.
 SHORT = 64
 #: Bytes of text that are cut at once; a longer text goes by itself.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 20
 _EACH = 180  # bytes of the two objects of a piece and of its place in the table, without contents
 #: A space beside these may lie inside a run of white space. All other white space is named too.
 _UNSAFE = ("  ", " \n", " \t", " \r", " \x0b", " \x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0")
