@@ -59,7 +59,7 @@ class WaveletMatrix:
         for level in range(levels):
             bit = (rest & kind(1 << (levels - 1 - level))) != 0
             planes.append(np.packbits(bit))
-            rest = np.concatenate([rest[~bit], rest[bit]])
+            rest = rest.take(np.concatenate([np.flatnonzero(~bit), np.flatnonzero(bit)]))
         none = np.empty(0, np.int64)
         return cls(len(values), planes, none if ids is None else ids, np.array([0, len(values)]) if bounds is None else bounds)
 
@@ -126,8 +126,8 @@ class WaveletMatrix:
             bit = np.unpackbits(self.planes[level], count=self.size).view(bool)
             above = np.empty_like(out)
             zeros = self.zeros[level]
-            above[~bit] = out[:zeros]
-            above[bit] = out[zeros:] | kind(1 << (levels - 1 - level))
+            above[np.flatnonzero(~bit)] = out[:zeros]
+            above[np.flatnonzero(bit)] = out[zeros:] | kind(1 << (levels - 1 - level))
             out = above
         return out
 
