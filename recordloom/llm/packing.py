@@ -34,6 +34,8 @@ CAPACITY = 1024
 END = 2
 FAN = 8
 NEARLY = 8  # free places of a bin that is done
+#: Bytes that a worker's remembered pieces may take: less than in ``tokens``, as other stages share its memory.
+REMEMBERED = 64 << 20
 _FULL = 1 << 62  # marks the bins of pieces that fill a sequence
 
 
@@ -41,7 +43,7 @@ def _cut(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, bin_ = tokens.encoder(path), _FULL + (TaskContext.get().partitionId() << 36)
+        encoder, bin_ = tokens.encoder(path, REMEMBERED), _FULL + (TaskContext.get().partitionId() << 36)
         end = np.array([END], "<u4")
         for batch in batches:
             ids = batch.column("id").to_pylist()
@@ -60,6 +62,7 @@ def _cut(path: str, capacity: int, with_ids: bool):
                     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                     names = ["id", "piece", "start", "length", "ids_crc32", "bin", "ids"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+        tokens.give_back()
 
     return run
 

@@ -194,17 +194,18 @@ def scored(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, cache = Model(*shipped.value), {}
         for batch in batches:
-            got = [own.score(term_shares(texts, cache)) for _, texts in textops.chunks(batch.column("text"))]
+            column = batch.column("row").field(place) if rest else batch.column("text")
+            got = [own.score(term_shares(texts, cache)) for _, texts in textops.chunks(column)]
             kept = [batch.column(c) for c in batch.schema.names if c != "text"]
             if got:
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(got))], names=[*(c for c in batch.schema.names if c != "text"), "score"])
 
-    text = F.col(f"`{text_col}`").alias("text")
-    if rest:
+    if rest:  # the text goes to the workers once, inside its row
+        place = df.columns.index(text_col) if text_col in df.columns else [c.lower() for c in df.columns].index(text_col.lower())
         whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
         shape = df.select(whole, F.lit(0.0).alias("score")).schema
-        return df.select(whole, text).mapInArrow(run, shape)
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text).mapInArrow(run, "id long, score double")
+        return df.select(whole).mapInArrow(run, shape)
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "id long, score double")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ result equals encoding the whole text, which the tests check.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import sys
 import types
@@ -52,9 +53,11 @@ _SIMPLE, _HARD, _WHOLE = range(3)
 class Encoder:
     """``encode(texts)`` gives one little-endian unsigned 32-bit array per text, without end id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        """remembered: bytes that remembered pieces may take, in place of REMEMBERED."""
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         stated = json.loads(self.tokenizer.to_str())
         cuts = stated["pre_tokenizer"] or {}
@@ -164,7 +167,7 @@ class Encoder:
         return at, way
 
     def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
-        if self.held > REMEMBERED:
+        if self.held > (self.remembered or REMEMBERED):
             self.known.clear()
             self.held = 0
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
@@ -196,16 +199,24 @@ class Encoder:
         return [out[a:b] for a, b in zip(edges, edges[1:])]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
     """The worker's encoder for a vocabulary file; what it remembers outlives a task."""
     home = sys.modules.setdefault("_recordloom_encoders", types.ModuleType("_recordloom_encoders"))
     if not hasattr(home, "by_path"):
         home.by_path = {}
     if path not in home.by_path:
         home.by_path[path] = Encoder(path)
+    home.by_path[path].remembered = remembered
     return home.by_path[path]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can; a worker lives on after its task."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def small_parts(column: pa.Array):
     """A column of texts in parts of about AT_ONCE bytes, so that buffers stay small."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -8,6 +8,7 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from recordloom.llm import hosts, packing, quality, secrets, textops, tokens, vectors, wavelet
@@ -104,6 +105,29 @@ def test_remembered_pieces_are_bounded_in_bytes(monkeypatch):
         assert max(map(len, own.known)) <= tokens.SHORT and own.held < 40_000
 
 
+def test_packing_remembers_less_than_a_worker_may(spark, monkeypatch):
+    """The bound of a stage that shares its workers' memory holds in place of the general one."""
+    own, plain = tokens.Encoder(VOCABULARY, remembered=20_000), Tokenizer.from_file(VOCABULARY)
+    for i in range(30):
+        texts = [words(40, 90 + i), words(60, i), None]
+        assert [x.tolist() for x in own.encode(texts)] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert own.held < 40_000
+    assert tokens.encoder(VOCABULARY, packing.REMEMBERED) is tokens.encoder(VOCABULARY)
+    assert tokens.encoder(VOCABULARY, packing.REMEMBERED).remembered == packing.REMEMBERED < tokens.REMEMBERED
+    assert tokens.encoder(VOCABULARY).remembered is None
+
+
+def test_scored_rows_send_their_text_once(spark):
+    docs = spark.createDataFrame([(1, "a", "some words of a text"), (2, None, None), (2, "b", ""), (None, "c", "Other WORDS, 12")], "doc_id long, lang string, text string")
+    model = quality.Model.fit(spark.createDataFrame([(1.0, quality.term_shares([b"some words here"], {})[0].tobytes()), (0.0, quality.term_shares([b"12 #$ 99"], {})[0].tobytes())], "quality double, shares binary"))
+    got = quality.scored(docs, model, rest=True)
+    assert got._jdf.queryExecution().analyzed().children().head().output().size() == 1
+    rows = sorted((r.row.doc_id or 0, r.row.lang or "", r.row.text or "", r.score) for r in got.collect())
+    apart = quality.scored(docs.select("doc_id", "lang", F.upper("lang").alias("of"), "text"), model, rest=True, text_col="TEXT").select("row.doc_id", "row.lang", "row.text", "score")
+    assert rows == sorted((r.doc_id or 0, r.lang or "", r.text or "", r.score) for r in apart.collect())
+    assert sorted(r[3] for r in rows) == sorted(r.score for r in quality.scored(docs, model).collect()) and len(rows) == 4
+
+
 def test_columns_are_cut_by_bytes_as_the_library_does():
     """Each distinct word once, however signs and line ends stand beside it; all else as a plain call."""
     own, plain = tokens.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
