@@ -1,8 +1,9 @@
 """Elements of large XML files, read by many tasks in one pass.
 
 Texts are cut at the closing tag of the wanted element, so every piece holds one element at its
-end and perhaps other text before it. What lies outside the elements is kept per file and must be
-a document of its own, so that a file cut short is noticed. Files are UTF-8. Closing tags inside
+end and perhaps other text before it. What lies outside the elements must be a document of its own,
+so that a file cut short is noticed; it goes through a parser in the order of the file, in parts, so
+there may be any amount of it. Files are UTF-8. Closing tags inside
 comments or CDATA, and wanted elements inside each other, make a file broken.
 """
 
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from recordloom.plans.staging import stage_folder, staged
 from recordloom.sources.pieces import chunks, empty_files, read_pieces
 
-#: Bytes outside the elements that a file may have; they are put together in one row.
-AROUND = 64 << 20
+#: Characters of a row of what is outside the elements, and of such rows in a batch.
+PART, PARTS = 1 << 20, 1 << 24
 _SCHEMA = "file string, block long, row long, record map<string,string>, broken boolean, outside string, plain boolean"
 
 
@@ -53,6 +54,7 @@ class _Rows:
         self.broken: list[bool] = []
         self.outside: list[str | None] = []
         self.plain: list[bool] = []
+        self.size = 0  # of what is outside
         self._none = (None,) * len(fields)
 
     def add(self, record: dict[str, str | None] | None, broken: bool, outside: str | None = None) -> None:
@@ -61,6 +63,11 @@ class _Rows:
             self.keys += record
             self.values += record.values()
 
+    def add_outside(self, text: str) -> None:
+        for lo in range(0, len(text), PART):
+            self.add(None, False, text[lo : lo + PART])
+        self.size += len(text)
+
     def add_plain(self, cells: tuple) -> None:
         self._row(cells, None, False, None, True)
 
@@ -128,7 +135,7 @@ def _pieces_to_rows(tag: str, fields: Sequence[str]):
         outside.append(text[at:])
         rest = "".join(outside)
         if rest.strip():
-            rows.add(None, False, rest)
+            rows.add_outside(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 1  # grows within each range
@@ -136,7 +143,7 @@ def _pieces_to_rows(tag: str, fields: Sequence[str]):
             rows = _Rows(fields)
             for piece in pieces:
                 of_piece(piece, rows)
-                if len(rows.broken) >= 2000:
+                if len(rows.broken) >= 2000 or rows.size >= PARTS:
                     yield rows.batch(file, block, row)
                     row += len(rows.broken)
                     rows = _Rows(fields)
@@ -147,16 +154,71 @@ def _pieces_to_rows(tag: str, fields: Sequence[str]):
     return run
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = []
-        for text in batch.column(1).to_pylist():
+class _Ignored:
+    """Keeps nothing of what a parser finds."""
+
+    def close(self) -> None:
+        return None
+
+
+class _Document:
+    """Whether texts that follow one another are one document; they are parsed as they come and not kept."""
+
+    def __init__(self) -> None:
+        self.parser = ET.XMLParser(target=_Ignored())
+        self.good = True
+        self.start: str | None = ""  # until it is known whether a declaration states the encoding
+        self.declared = False
+
+    def _parse(self, text: str) -> None:
+        for lo in range(0, len(text) if self.good else 0, PART):
+            part = text[lo : lo + PART]
             try:
-                ET.fromstring(text.lstrip("﻿").encode() if text.lstrip("﻿").startswith("<?xml") else text)
-                good.append(True)
+                self.parser.feed(part.encode() if self.declared else part)
             except (ET.ParseError, LookupError):
-                good.append(False)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(good, pa.bool_())], names=["file", "whole"])
+                self.good = False
+                return
+
+    def _begin(self) -> None:
+        text, self.start = self.start, None
+        self.declared = text.lstrip("\ufeff").startswith("<?xml")
+        self._parse(text.lstrip("\ufeff") if self.declared else text)
+
+    def feed(self, text: str) -> None:
+        if self.start is None:
+            self._parse(text)
+            return
+        self.start += text
+        if len(self.start.lstrip("\ufeff")) >= len("<?xml"):
+            self._begin()
+
+    def whole(self) -> bool:
+        if self.start is not None:
+            self._begin()
+        if self.good:
+            try:
+                self.parser.close()
+            except (ET.ParseError, LookupError):
+                self.good = False
+        return self.good
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per file, whether its texts are a document; the texts of a file follow one another in order."""
+
+    def told(file: str, document: _Document) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"file": pa.array([file], pa.string()), "whole": pa.array([document.whole()], pa.bool_())})
+
+    file, document = None, None
+    for batch in batches:
+        for name, text in zip(batch.column("file").to_pylist(), batch.column("outside")):
+            if document is None or name != file:
+                if document is not None:
+                    yield told(file, document)
+                file, document = name, _Document()
+            document.feed(text.as_py())
+    if document is not None:
+        yield told(file, document)
 
 
 @dataclass(frozen=True)
@@ -184,11 +246,8 @@ def read_elements(
     read = read_pieces(spark, path, f"</{tag}>").mapInArrow(_pieces_to_rows(tag, tuple(fields)), shape)
     table = staged(read, folder, "elements")
     outside = table.where(F.col("outside").isNotNull())
-    size = outside.groupBy("file").agg(F.sum(F.octet_length("outside")).alias("size"))
-    large = [r.file for r in size.where(F.col("size") > AROUND).collect()]
-    ordered = F.array_sort(F.collect_list(F.struct("block", "row", "outside")))
-    texts = outside.where(~F.col("file").isin(large)).groupBy("file").agg(F.concat_ws("", F.transform(ordered, lambda o: o["outside"])).alias("text"))
-    whole = texts.mapInArrow(_documents, "file string, whole boolean")
+    dealt = outside.select("file", "block", "row", "outside").repartition("file").sortWithinPartitions("file", "block", "row")
+    whole = dealt.mapInArrow(_documents, "file string, whole boolean")
     files = table.groupBy("file").agg(F.bool_or("broken").alias("broken")).join(whole, "file", "left")
     told = files.select("file", (F.col("broken") | ~F.coalesce("whole", F.lit(False))).alias("broken")).collect()
     broken = [r.file for r in told if r.broken] + empty_files(spark, path, {r.file for r in told})

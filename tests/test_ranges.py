@@ -182,3 +182,37 @@ def test_xml_fields_beside_records(spark, tmp_path):
     rows = read_elements(spark, str(tmp_path), "enrollment", fields=_FIELDS).rows.orderBy("_pos.row").collect()
     assert [r.record for r in rows] == [{"employee_id": "1", "plan_type": "p"}, {"plan_type": "q&"}, {"employee_id": "2", "plan_type": None, "more": "x"}]
     assert [(r.f_employee_id, r.f_plan_type, r.has_employee_id, r.has_plan_type) for r in rows] == [("1", "p", True, True), (None, "q&", False, True), ("2", None, True, True)]
+
+
+def test_xml_much_outside_the_elements(spark, tmp_path):
+    one = "<enrollment><employee_id>{}</employee_id><plan_type>p</plan_type></enrollment>"
+    more = "<note>" + "é" * 999_983 + "</note>\n"
+    body = "".join(one.format(i) + more for i in range(34))  # 68 MB
+    (tmp_path / "a.xml").write_text("<?xml version='1.0'?><benefits>" + body + "</benefits>", "utf-8")
+    (tmp_path / "b.xml").write_text("<benefits>" + body + "</note></benefits>", "utf-8")
+    got = read_elements(spark, str(tmp_path), "enrollment", fields=_FIELDS)
+    assert [f.split("/")[-1] for f in got.broken] == ["b.xml"]
+    assert sorted(int(r.f_employee_id) for r in got.rows.collect()) == list(range(34))
+
+
+def test_xml_document_in_parts():
+    import xml.etree.ElementTree as ET
+
+    from recordloom.sources.xml_ranges import _documents
+
+    texts = ["", " ", "<a/>", "<a>", "<a/><b/>", "﻿<a/>", "﻿﻿<a/>", "﻿<?xml version='1.0'?><a>é</a>", "﻿﻿<?xml version='1.0'?><a/>", "<?xml version='1.0' encoding='latin-1'?><a>é</a>",
+             "<?xml version='1.0' encoding='utf-16'?><a/>", "<?xml version='1.0' encoding='none-such'?><a/>", " <?xml version='1.0'?><a/>", "<!DOCTYPE a [<!ENTITY e 'x'>]><a>&e;</a>", "<a>&e;</a>", "<a><![CDATA[<]]><!-- \U0001f600 --></a>", "<a b='1' b='2'/>", "<b:a/>", "<a>\x00</a>", "<?xm"]
+
+    def wanted(text):
+        plain = text.lstrip("﻿")
+        try:
+            ET.fromstring(plain.encode() if plain.startswith("<?xml") else text)
+            return True
+        except (ET.ParseError, LookupError):
+            return False
+
+    for step in (1, 3, 1000):
+        rows = [(str(n), text[k : k + step]) for n, text in enumerate(texts) for k in range(0, len(text) or 1, step)]
+        batches = [pa.RecordBatch.from_pydict({"file": [r[0] for r in part], "outside": [r[1] for r in part]}) for part in (rows[:7], rows[7:])]
+        told = {r["file"]: r["whole"] for out in _documents(iter(batches)) for r in out.to_pylist()}
+        assert told == {str(n): wanted(text) for n, text in enumerate(texts)}
