@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -319,6 +320,52 @@ def test_words_beside_seeds_never_rule_out_a_passage():
         assert not passages._alike(a, unlike).any()
 
 
+def test_rows_of_a_tile_are_looked_up_and_not_all_compared():
+    """All alike rows of a tile are found, within tiles only, and few others are looked at."""
+    rng = np.random.default_rng(5)
+    words = np.concatenate([rng.integers(1, 40, (800, 2, passages.WIDE)), rng.integers(1, 256, (800, 2, passages.WIDE))]).astype(np.uint8)
+    for k in range(0, 1600, 4):  # a copy with some words changed, or one left out
+        words[k + 1] = words[k]
+        words[k + 1][rng.random((2, passages.WIDE)) < 0.12] = 255
+        if k % 8:
+            words[k + 1, 0, 5:-1] = words[k, 0, 6:]
+    words[10, 1, 20:] = words[11, 1, 20:] = 0  # texts end there
+    words[20:24, :, 30:] = 0
+    words[40:60, 0], words[50:60, 1] = 7, 7  # one word over and over
+    tile = np.repeat(np.arange(4), 400)
+    who, against = np.flatnonzero(np.arange(1600) % 3 != 0), np.arange(1600)
+    found = [pairs for pairs in passages._leads(words, tile, who, against)]
+    leads = {(int(who[i]), int(against[j])) for one, two in found for i, j in zip(one, two)}
+    near = set()
+    for i in who.tolist():
+        same = np.flatnonzero(tile == tile[i])
+        near |= {(i, int(j)) for j in same[passages._alike(np.repeat(words[i][None], len(same), 0), words[same])]}
+    assert len(near) > 1500 and near <= leads and all(tile[i] == tile[j] for i, j in leads)
+    assert sum(i >= 800 for i, _ in leads) < 0.1 * sum(i >= 800 for i in who.tolist()) * 400
+
+
+def test_chains_whose_words_disagree_are_told_from_marks():
+    rng = np.random.default_rng(6)
+    same = rng.random((400, 132)) < rng.uniform(0.1, 0.95, (400, 1))
+    same[::3, 60:] &= rng.random((134, 72)) < 0.3
+
+    def whole(row):
+        total = np.concatenate([[0], np.cumsum(row)])
+        return any(total[hi] - total[lo] >= 0.8 * (hi - lo) - 1e-9 for lo in range(len(row)) for hi in range(lo + 50, len(row) + 1))
+
+    wanted = [whole(row) for row in same]
+    assert passages._agree(same).tolist() == wanted and 50 < sum(wanted) < 350
+
+
+def test_linked_occurrences():
+    rows = [(1, 5, 3), (1, 7, 2), (2, 5, 3), (2, 5, 3), (2, 6, 1), (3, 4, 4), (3, 4, 9), (4, 1, 1), (4, 2, 2), (4, 2, 8), (4, 3, 3), (5, 1, 1), (5, 1, 4), (5, 2, 2), (5, 2, 6), (5, 3, 3)]
+    batches = [pa.RecordBatch.from_pydict({c: pa.array(v, t) for c, v, t in zip(("seed", "id", "place"), zip(*part), (pa.int64(), pa.int64(), pa.int32()))}) for part in (rows[:4], rows[4:9], rows[9:])]
+    got = [tuple(r.values()) for out in passages._linked(iter(batches)) for r in out.to_pylist()]
+    few = [(None, 7, 2, 5, 3), (None, 6, 1, 5, 3), (None, 2, 2, 1, 1), (None, 2, 8, 1, 1), (None, 3, 3, 1, 1), (None, 3, 3, 2, 2), (None, 3, 3, 2, 8)]
+    many = [(5, 1, 1, None, None), (5, 1, 4, None, None), (5, 2, 2, 1, 1), (5, 2, 6, 1, 1), (5, 3, 3, 1, 1)]
+    assert sorted(got, key=str) == sorted(few + many, key=str)
+
+
 def test_recall_of_changed_passages(spark):
     """60 words, one word in ``every`` changed, or that share of them at random places."""
     rows, home, cases = [], {}, 40
