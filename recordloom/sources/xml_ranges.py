@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from recordloom.plans.staging import stage_folder, staged
 from recordloom.sources.pieces import chunks, empty_files, read_pieces
 
-#: Characters of a row of what is outside the elements, and of such rows in a batch.
-PART, PARTS = 1 << 20, 1 << 24
+#: Characters of a row of what is outside the elements (thousands are read at once), and of such rows in a batch.
+PART, PARTS = 1 << 12, 1 << 24
 _SCHEMA = "file string, block long, row long, record map<string,string>, broken boolean, outside string, plain boolean"
 
 
